@@ -36,8 +36,9 @@ from ledgerline.sources.landing import requested_from as request_start
 from ledgerline.sources.landing import since
 from ledgerline.sources.store import DAY, DailyTable, Store
 
-# Above this many days a lookup by day stops being selective.
-MAX_LISTED_DAYS = 10_000
+# Days outside these years share one label, so there are never more labels than days here.
+FIRST_YEAR, LAST_YEAR = 1970, 2099
+UNDATED = "undated"
 
 
 def utc_now() -> datetime:
@@ -62,9 +63,14 @@ def current_watermark(store: Store, source: str) -> datetime | None:
     return rows[0][0] if rows else None
 
 
+def _day_label(day: Column) -> Column:
+    usual = F.year(day).between(FIRST_YEAR, LAST_YEAR)
+    return F.when(usual, day.cast("string")).otherwise(UNDATED)
+
+
 def event_day() -> Column:
     """Day label of a bronze row; rows of one natural key share it, as the key holds the date."""
-    return F.col("transaction_date").cast("date").cast("string")
+    return _day_label(F.col("transaction_date").cast("date"))
 
 
 def quarantine_day() -> Column:
@@ -74,8 +80,8 @@ def quarantine_day() -> Column:
     same day.  Dates that are missing, unreadable or far off share a label.
     """
     raw = F.get_json_object("raw_payload", "$.transaction_date")
-    day = F.when(raw.rlike(r"^20[0-9]{2}-[0-9]{2}-[0-9]{2}T"), F.substring(raw, 1, 10))
-    return F.coalesce(day.try_cast("date").cast("string"), F.lit("undated"))
+    day = F.when(raw.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.substring(raw, 1, 10))
+    return _day_label(day.try_cast("date"))
 
 
 def _days(rows: DataFrame) -> list[str]:
@@ -109,14 +115,10 @@ def upsert_bronze(store: Store, valid: DataFrame, on_conflict: str) -> list[str]
         .join(batch.select("transaction_id"), "transaction_id", "left_semi")
     )
     days = sorted({*batch_days, *moved_from})
-    target = table.read_with_day(days if len(days) <= MAX_LISTED_DAYS else None)
-    if len(days) > MAX_LISTED_DAYS:
-        target = target.where(F.col(DAY).isin(days))
-    merged = upsert(target, batch, "transaction_id")
-    staged = store.staging_path()
-    merged.write.parquet(staged)
-    merged = store.spark.read.schema(merged.schema).parquet(staged)
-    table.replace(flag_duplicates(merged), days)
+    merged = upsert(table.read_with_day(days), batch, "transaction_id")
+    # Flagging reads its input three times, twice only a few columns of it.
+    with store.staged(merged) as staged:
+        table.replace(flag_duplicates(staged), days)
     return days
 
 
@@ -132,7 +134,7 @@ def refresh_summary(store: Store, days: Sequence[str], as_of: datetime | None =
     staging = stg_transactions(store.bronze.read(days))
     summary = daily_account_summary(staging, as_of)
     store.summary.replace(
-        summary.withColumn(DAY, F.col("transaction_date").cast("string")), days
+        summary.withColumn(DAY, _day_label(F.col("transaction_date"))), days
     )
 
 
@@ -142,14 +144,6 @@ def rebuild_summary(store: Store, as_of: datetime | None = None) -> None:
     refresh_summary(store, days, as_of)
 
 
-def _stage(store: Store, checked: DataFrame) -> DataFrame:
-    """Write the checked records once, so that parsing and checking happen once."""
-    path = store.staging_path()
-    checked.withColumn("ok", is_valid()).write.partitionBy("ok").parquet(path)
-    schema = StructType([*checked.schema.fields]).add("ok", "boolean")
-    return store.spark.read.schema(schema).parquet(path)
-
-
 def run_ingest(
     records: DataFrame,
     store: Store,
@@ -193,16 +187,16 @@ def run_ingest(
         checked = check_payloads(records, contract)
         if start is not None:
             checked = checked.where(since(F.col("transaction_date"), utc_literal(start)))
-        staged = _stage(store, checked)
-        tallies = dict(staged.groupBy("ok").count().collect())
-        audit["records_valid"] = tallies.get(True, 0)
-        audit["records_quarantined"] = tallies.get(False, 0)
-        audit["records_fetched"] = sum(tallies.values())
-
-        valid = bronze_rows(staged.where("ok"), contract, source, run_id, started_at)
-        invalid = quarantine_rows(staged.where("NOT ok"), source, run_id, started_at)
-        days = upsert_bronze(store, valid, on_conflict)
-        upsert_quarantine(store, invalid, on_conflict)
+        # Parsing and checking happen once; everything after reads the result.
+        with store.staged(checked.withColumn("ok", is_valid()), "ok") as staged:
+            tallies = dict(staged.groupBy("ok").count().collect())
+            audit["records_valid"] = tallies.get(True, 0)
+            audit["records_quarantined"] = tallies.get(False, 0)
+            audit["records_fetched"] = sum(tallies.values())
+            valid = bronze_rows(staged.where("ok"), contract, source, run_id, started_at)
+            invalid = quarantine_rows(staged.where("NOT ok"), source, run_id, started_at)
+            days = upsert_bronze(store, valid, on_conflict)
+            upsert_quarantine(store, invalid, on_conflict)
         if summary:
             refresh_summary(store, days, as_of)
 

@@ -9,7 +9,8 @@ overwritten in place, so a run that dies half way leaves the table as it was.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,7 +22,7 @@ from ledgerline import schemas
 
 DAY = "event_day"
 WRITE = "write"
-COMMITS = schemas.layout("string: day folder\nlong: row_count version")
+COMMITS = schemas.layout("string: day folder\nlong: version")
 
 
 def read_or_empty(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
@@ -33,6 +34,21 @@ def read_or_empty(spark: SparkSession, schema: StructType, path: str) -> DataFra
         return spark.createDataFrame([], schema)
 
 
+def _folder(spark: SparkSession, path: str) -> tuple:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> set[str]:
+    folder, files = _folder(spark, path)
+    return {s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()}
+
+
 @dataclass(frozen=True)
 class DailyTable:
     """A table kept in one partition per day label."""
@@ -50,12 +66,12 @@ class DailyTable:
 
     def _current(self, days: Iterable[str] | None = None) -> list[tuple[str, str]]:
         """Folder of each day; one short row per day ever written."""
-        latest = F.max(F.struct("version", "folder", "row_count"))
-        current = self._commits().groupBy("day").agg(latest.alias("last"))
+        latest = F.max(F.struct("version", "folder")).getField("folder")
+        current = self._commits().groupBy("day").agg(latest.alias("folder"))
         wanted = None if days is None else set(days)
         return [
-            (row["day"], row["last"]["folder"])
-            for row in current.where("last.row_count > 0").collect()
+            (row["day"], row["folder"])
+            for row in current.where("folder IS NOT NULL").collect()
             if wanted is None or row["day"] in wanted
         ]
 
@@ -89,22 +105,13 @@ class DailyTable:
         folder = f"{WRITE}={uuid.uuid4().hex}"
         target = f"{self.path}/{folder}"
         rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(target)
-        written = StructType([*self.schema.fields]).add(DAY, "string")
-        counts = read_or_empty(self.spark, written, target).groupBy(DAY).count()
-        last = self._commits().agg(F.max("version")).first()[0]
-        wanted = self.spark.createDataFrame([(d,) for d in days], "day string")
-        (
-            wanted.join(counts.withColumnRenamed(DAY, "day"), "day", "left")
-            .select(
-                "day",
-                F.lit(folder).alias("folder"),
-                F.coalesce("count", F.lit(0)).alias("row_count"),
-                F.lit((last or 0) + 1).cast("bigint").alias("version"),
-            )
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(self._commit_path)
-        )
+        filled = subfolders(self.spark, target)
+        last = self._commits().agg(F.max("version")).first()[0] or 0
+        commits = [
+            (day, folder if f"{DAY}={day}" in filled else None, last + 1) for day in days
+        ]
+        commit_rows = self.spark.createDataFrame(commits, COMMITS)
+        commit_rows.coalesce(1).write.mode("append").parquet(self._commit_path)
 
 
 @dataclass(frozen=True)
@@ -158,5 +165,10 @@ class Store:
     def runs(self) -> LogTable:
         return LogTable(self.spark, f"{self.root}/runs", schemas.RUNS)
 
-    def staging_path(self) -> str:
-        return f"{self.root}/staging/{uuid.uuid4().hex}"
+    @contextmanager
+    def staged(self, rows: DataFrame, *partition_by: str) -> Iterator[DataFrame]:
+        """``rows`` written as a table for the time of the block."""
+        path = f"{self.root}/staging/{uuid.uuid4().hex}"
+        rows.write.partitionBy(*partition_by).parquet(path)
+        yield self.spark.read.schema(rows.schema).parquet(path)
+        remove_folder(self.spark, path)

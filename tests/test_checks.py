@@ -1,0 +1,186 @@
+"""Every rule of the contract, on JSON records and on string tables."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from helpers import GOOD, payload_frame, record, without
+from pyspark.sql import functions as F
+
+from ledgerline.contract import Contract
+from ledgerline.functions.text import quoted
+from ledgerline.operators.routing import check_payloads, check_table
+
+ID = "transaction_id: invalid_format (expected TXN-NNNN, got {!r})"
+ACCOUNT = "account_id: invalid_format (expected ACC-NNNN, got {!r})"
+FORMAT = "transaction_date: invalid_iso8601_utc_format (got {!r})"
+CALENDAR = "transaction_date: not_a_real_calendar_date (got {!r})"
+WINDOW = "transaction_date: outside_expected_window_2024Q1 (got {!r})"
+NOT_NUMERIC = "amount: not_numeric (got {!r})"
+NOT_POSITIVE = "amount: not_strictly_positive (got {!r})"
+TOO_FINE = "amount: more_than_two_decimal_places (got {!r})"
+RANGE = "amount: out_of_range (got {!r})"
+CURRENCY = "currency: invalid_currency_code (got {!r})"
+TYPE = "transaction_type: invalid_transaction_type (got {!r})"
+CATEGORY = "merchant_category: invalid_merchant_category (got {!r})"
+STATUS = "status: invalid_status (got {!r})"
+MERCHANT = "merchant_name: empty_or_whitespace_only (got {!r})"
+COUNTRY = "country_code: invalid_format (got {!r})"
+UNASSIGNED = "country_code: not_an_assigned_iso3166_code (got {!r})"
+
+# Field, text of its violation and the values that cause it; None means no violation.
+CASES = [
+    ("transaction_id", None, ["TXN-1", "TXN-0001", "TXN-Dx9Z"]),
+    ("transaction_id", ID, ["TXN7001", "txn-7001", "7001", "", "TXN-", "TXN-1\n", "TXN-1 ", 7001]),
+    ("account_id", None, ["ACC-0000"]),
+    ("account_id", ACCOUNT, ["ACC4242", "acc-4242", "ACC-424", "ACC-42424", "ACC-٤٢٤٢", 4242, True]),
+    ("transaction_date", None, ["2024-01-01T00:00:00Z", "2024-03-31T23:59:59Z", "2024-02-29T12:00:00Z"]),
+    (
+        "transaction_date",
+        FORMAT,
+        [
+            "2024-02-10 09:15:30",
+            "2024-02-10T09:15:30",
+            "10/02/2024",
+            "2024-02-10T09:15:30+00:00",
+            "2024-13-01T00:00:00Z",
+            "2024-02-32T00:00:00Z",
+            "2024-02-10T24:00:00Z",
+            "2024-02-10T09:15:30.5Z",
+            "2024-02-10T09:15:30Z\n",
+            "",
+            1707556530,
+        ],
+    ),
+    ("transaction_date", CALENDAR, ["2024-11-31T00:00:00Z", "2023-02-29T00:00:00Z", "0000-01-01T00:00:00Z"]),
+    ("transaction_date", WINDOW, ["2023-12-31T23:59:59Z", "2024-04-01T00:00:00Z", "2029-01-15T08:23:11Z"]),
+    ("amount", None, [142.5, 1, "0.01", "10.12", "100", "12.", ".5", "+3.1", " 7.25 ", "1e3", "1.23e1", 10.1]),
+    ("amount", NOT_NUMERIC, ["abc", "", "1,000", "1_000", "NaN", "Infinity", True, False, "12-3", "--1", "e5"]),
+    ("amount", NOT_POSITIVE, [0, 0.0, -1, -127.5, "0.00", "-0.01", "0e9", "-1.234"]),
+    ("amount", TOO_FINE, ["10.123", "10.120", 10.125, "1e-3", "1.5e-2", 1e-07, 0.00012]),
+    ("amount", RANGE, ["10000000000000000.00", 1e16, 12345678901234567890, "1e40"]),
+    ("currency", None, ["USD", "CAD"]),
+    ("currency", CURRENCY, ["usd", "US", "EURO", "XYZ", "", " USD", 840]),
+    ("transaction_type", TYPE, ["DEBIT", "Debit", "withdrawal", ""]),
+    ("merchant_category", CATEGORY, ["ecommerce", "fast_food", "Finance", "groceries "]),
+    ("status", STATUS, ["Completed", "COMPLETED", "done", "ok"]),
+    ("merchant_name", None, ["O'Neill", " x ", "店"]),
+    ("merchant_name", MERCHANT, ["", "   ", "\t\n", "  ", "\x1c", 77, False]),
+    ("country_code", None, ["US", "GB", "CW"]),
+    ("country_code", COUNTRY, ["us", "USA", "U", "Us", "12", "ÉE", "", "U\n1"]),
+    ("country_code", UNASSIGNED, ["UK", "EN", "ZZ", "XX", "1S", "U1", "AN"]),
+]
+FLAT = [(f, t, v) for f, t, values in CASES for v in values]
+
+
+def found(spark, contract, records):
+    rows = payload_frame(spark, records).withColumn("n", F.monotonically_increasing_id())
+    parsed = check_payloads(rows.coalesce(1), contract).select("violations").collect()
+    return [r["violations"] for r in parsed]
+
+
+def test_each_rule_on_json(spark, contract):
+    got = found(spark, contract, [record(**{f: v}) for f, _, v in FLAT])
+    expected = [[] if t is None else [t.format(v)] for _, t, v in FLAT]
+    wrong = [(c, g) for c, g, e in zip(FLAT, got, expected, strict=True) if g != e]
+    assert wrong == []
+
+
+def test_each_rule_on_string_tables(spark, contract):
+    strings = [(f, t, v) for f, t, v in FLAT if isinstance(v, str)]
+    columns = ", ".join(f"{f} string" for f in contract.record_fields)
+    rows = [tuple({**GOOD, f: v}[c] for c in contract.record_fields) for f, _, v in strings]
+    table = spark.createDataFrame(rows, columns).coalesce(1)
+    got = [r["violations"] for r in check_table(table, contract).collect()]
+    expected = [[] if t is None else [t.format(v)] for _, t, v in strings]
+    assert got == expected
+
+
+def test_missing_null_and_unexpected_fields(spark, contract):
+    names = list(GOOD)
+    records = [without(n) for n in names] + [record(**{n: None}) for n in names]
+    got = found(spark, contract, records)
+    assert got == [[f"{n}: missing_required_field"] for n in names] * 2
+
+    got = found(
+        spark,
+        contract,
+        [
+            record(id=446, created_at="x", inserted_at=None, updated_at=[1]),
+            record(zeta=1, alpha=None, Beta={}),
+            {**without("status", "amount"), "status": None, "extra": 1},
+        ],
+    )
+    assert got == [
+        [],
+        ["Beta: unexpected_field", "alpha: unexpected_field", "zeta: unexpected_field"],
+        [
+            "amount: missing_required_field",
+            "status: missing_required_field",
+            "extra: unexpected_field",
+        ],
+    ]
+
+
+def test_all_violations_in_order(spark, contract):
+    bad = record(
+        transaction_date="2024-04-15 09:30:00",
+        amount="-127.5",
+        status="Completed",
+        merchant_name="   ",
+    )
+    assert found(spark, contract, [bad]) == [
+        [
+            "transaction_date: invalid_iso8601_utc_format (got '2024-04-15 09:30:00')",
+            "amount: not_strictly_positive (got '-127.5')",
+            "status: invalid_status (got 'Completed')",
+            "merchant_name: empty_or_whitespace_only (got '   ')",
+        ]
+    ]
+
+
+def test_last_value_of_a_repeated_key_counts(spark, contract):
+    text = json.dumps(GOOD)[:-1] + ', "currency": "usd", "currency": "EUR"}'
+    assert found(spark, contract, [text]) == [[]]
+
+
+@pytest.mark.parametrize("text", ["", "[1]", '"x"', "{bad", "null", "17"])
+def test_what_is_no_object(spark, contract, text):
+    assert found(spark, contract, [text]) == [["payload: not_an_object"]]
+
+
+def test_window_can_be_switched_off_and_moved(spark, contract):
+    late = [record(transaction_date="2029-01-15T08:23:11Z")]
+    assert found(spark, Contract.default(spark, strict_window=False), late) == [[]]
+    moved = Contract.from_mapping(
+        spark,
+        {
+            "window_start": "2029-01-01T00:00:00Z",
+            "window_end": "2029-12-31T23:59:59Z",
+            "window_label": "2029",
+            "currencies": ["CHF"],
+        },
+    )
+    assert found(spark, moved, [*late, GOOD]) == [
+        [],
+        ["transaction_date: outside_expected_window_2029 (got '2024-02-10T09:15:30Z')"],
+    ]
+    with pytest.raises(ValueError, match="unknown contract settings: colour"):
+        Contract.from_mapping(spark, {"colour": "red"})
+
+
+def test_quoting_matches_python(spark):
+    texts = [
+        "plain", "", "it's", 'say "x"', "it's \"x\"", "back\\slash", "a\tb\nc\rd", "\x00\x1f\x7f",
+        " ­​", "é店", "😀", "\U000e0001", "'", "'\n", " ",
+    ]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    got = [r[0] for r in frame.select(quoted(F.col("t"))).collect()]
+    assert got == [repr(t) for t in texts]
+
+
+def test_country_list(contract):
+    assert len(contract.countries) == 249
+    assert {"US", "GB", "CW", "SS"} <= set(contract.countries)
+    assert not {"UK", "EN", "AN", "YU", "XK"} & set(contract.countries)
