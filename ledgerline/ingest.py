@@ -109,13 +109,14 @@ def upsert_bronze(store: Store, valid: DataFrame, on_conflict: str) -> list[str]
     table = store.bronze
     batch = _batch(valid, "transaction_id", on_conflict).withColumn(DAY, event_day())
     batch_days = _days(batch)
+    stored = table.read_with_day()
     moved_from = _days(
-        table.read_with_day()
-        .select("transaction_id", DAY)
-        .join(batch.select("transaction_id"), "transaction_id", "left_semi")
+        stored.select("transaction_id", DAY).join(
+            batch.select("transaction_id"), "transaction_id", "left_semi"
+        )
     )
     days = sorted({*batch_days, *moved_from})
-    merged = upsert(table.read_with_day(days), batch, "transaction_id")
+    merged = upsert(stored.where(F.col(DAY).isin(days)), batch, "transaction_id")
     # Flagging reads its input three times, twice only a few columns of it.
     with store.staged(merged) as staged:
         table.replace(flag_duplicates(staged), days)

@@ -8,6 +8,7 @@ overwritten in place, so a run that dies half way leaves the table as it was.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -106,9 +107,10 @@ class DailyTable:
         target = f"{self.path}/{folder}"
         rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(target)
         filled = subfolders(self.spark, target)
-        last = self._commits().agg(F.max("version")).first()[0] or 0
+        # One writer at a time: a later run has a later clock reading.
+        version = time.time_ns()
         commits = [
-            (day, folder if f"{DAY}={day}" in filled else None, last + 1) for day in days
+            (day, folder if f"{DAY}={day}" in filled else None, version) for day in days
         ]
         commit_rows = self.spark.createDataFrame(commits, COMMITS)
         commit_rows.coalesce(1).write.mode("append").parquet(self._commit_path)

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
 from helpers import GOOD, payload_frame, record
 
 from ledgerline.ingest import (
+    _batch,
     current_watermark,
     event_day,
     new_run_id,
@@ -19,7 +21,6 @@ from ledgerline.operators.routing import DEFAULT_SOURCE
 from ledgerline.operators.upsert import BatchKeyConflict
 from ledgerline.plans.reports import quarantine_listing
 from ledgerline.sources.sinks import export_csv, export_json, latest_run, watermark_snapshot
-from ledgerline.sources.store import Store
 from ledgerline.streaming.ingest_stream import start_ingest_stream
 
 
@@ -43,12 +44,12 @@ def stored(store):
     }
 
 
-def test_full_load_report_audit_and_watermark(spark, store, contract):
+def test_full_load_report_audit_exports_and_replay(spark, store, contract, tmp_path):
     records = [
         txn(1, "01"),
         txn(2, "03"),
         {**txn(2, "03"), "transaction_id": "TXN-0009"},
-        txn(3, "02", currency="usd"),
+        txn(3, "02", currency="usd", country_code='a "b", c'),
     ]
     report = load(spark, store, contract, records, lookback_days=5)
     assert report["status"] == "success" and report["run_mode"] == "full"
@@ -62,8 +63,11 @@ def test_full_load_report_audit_and_watermark(spark, store, contract):
     assert run["status"] == "success" and run["run_id"] == report["run_id"]
     assert run["records_duplicate_flagged"] == 1 and run["error_message"] is None
     (bad,) = store.quarantine.read().collect()
-    assert bad["error_reason"] == "currency: invalid_currency_code (got 'usd')"
-    assert bad["transaction_id"] == "TXN-0003" and bad["error_count"] == 1
+    assert bad["error_reason"] == (
+        "currency: invalid_currency_code (got 'usd'); "
+        "country_code: invalid_format (got 'a \"b\", c')"
+    )
+    assert bad["transaction_id"] == "TXN-0003" and bad["error_count"] == 2
     assert json.loads(bad["raw_payload"])["merchant_name"] == "shop 3"
     assert current_watermark(store, DEFAULT_SOURCE) == datetime(2024, 2, 3, 10)
     assert current_watermark(store, "another source") is None
@@ -73,6 +77,22 @@ def test_full_load_report_audit_and_watermark(spark, store, contract):
     assert snapshot["last_run"]["run_id"] == report["run_id"]
     assert tuple(snapshot["table_counts"]) == (3, 1, 1)
 
+    export_csv(quarantine_listing(store.quarantine.read()), str(tmp_path / "csv"))
+    back = spark.read.csv(str(tmp_path / "csv"), header=True, escape='"')
+    assert back.columns[:3] == ["transaction_id", "error_count", "error_reason"]
+    assert json.loads(back.first()["raw_payload"])["country_code"] == 'a "b", c'
+    export_json(watermark_snapshot(store, DEFAULT_SOURCE), str(tmp_path / "json"))
+    document = spark.read.json(str(tmp_path / "json")).first()
+    assert document["table_counts"]["raw_transactions"] == 3
+    assert document["last_run"]["status"] == "success"
+
+    # The same records again: as many rows, newer stamps.
+    before = stored(store)
+    load(spark, store, contract, records, run_id="replay")
+    assert stored(store) == before and store.quarantine.read().count() == 1
+    for table in (store.bronze, store.quarantine):
+        assert {r[0] for r in table.read().select("ingestion_run_id").collect()} == {"replay"}
+
 
 def test_incremental_reads_the_lookback_only(spark, store, contract):
     first = load(spark, store, contract, [txn(1, "01"), txn(2, "10")], mode="incremental")
@@ -106,12 +126,20 @@ def test_incremental_reads_the_lookback_only(spark, store, contract):
 
 
 def test_moved_rows_leave_their_old_day(spark, store, contract):
-    load(spark, store, contract, [txn(1, "01"), txn(2, "05")], summary=True)
-    load(spark, store, contract, [txn(1, "05")], summary=True)
+    """Only the days a run touches are summarised again, to the same effect as all of them."""
+    load(spark, store, contract, [txn(n, f"{n:02d}") for n in (1, 2, 5)], summary=True)
+    load(spark, store, contract, [txn(1, "05"), txn(7, "02", amount="7.77")], summary=True)
     assert stored(store)["TXN-0001"] == ("completed", False, "2024-02-05")
-    assert store.bronze.read().count() == 2
-    days = [(str(r["transaction_date"]), r["transaction_count"]) for r in store.summary.read().collect()]
-    assert days == [("2024-02-05", 2)]
+    assert store.bronze.read().count() == 4
+
+    def summary():
+        return sorted(map(tuple, store.summary.read().select(*SUMMARY_CONTENT).collect()))
+
+    incremental = summary()
+    assert [(str(r[1]), r[5]) for r in incremental] == [("2024-02-02", 2), ("2024-02-05", 2)]
+    rebuild_summary(store)
+    assert summary() == incremental
+    refresh_summary(store, [])
 
 
 def test_duplicates_are_flagged_across_batches(spark, store, contract):
@@ -125,16 +153,7 @@ def test_duplicates_are_flagged_across_batches(spark, store, contract):
     assert report["records_duplicate_flagged"] == 0
 
 
-def test_replay_changes_only_the_stamps(spark, store, contract):
-    records = [txn(1, "01"), txn(2, "02"), txn(3, "02", amount=0)]
-    load(spark, store, contract, records, run_id="a")
-    load(spark, store, contract, records, run_id="b")
-    assert store.bronze.read().count() == 2 and store.quarantine.read().count() == 1
-    for table in (store.bronze, store.quarantine):
-        assert {r[0] for r in table.read().select("ingestion_run_id").collect()} == {"b"}
-
-
-def test_failed_run_keeps_watermark_and_rows(spark, store, contract):
+def test_failed_run_keeps_watermark_and_rows(spark, store, contract, monkeypatch):
     load(spark, store, contract, [txn(1, "01")], run_id="good")
     clash = [txn(2, "20"), txn(2, "21")]
     with pytest.raises(BatchKeyConflict):
@@ -145,21 +164,20 @@ def test_failed_run_keeps_watermark_and_rows(spark, store, contract):
     assert "BatchKeyConflict" in runs["bad"]["error_message"]
     assert current_watermark(store, DEFAULT_SOURCE) == datetime(2024, 2, 1, 10)
     assert set(stored(store)) == {"TXN-0001"}
-    kept = load(spark, store, contract, clash, on_conflict="latest")
-    assert kept["status"] == "success"
-    assert stored(store)["TXN-0002"][2] == "2024-02-21"
 
+    # Days written but not committed stay invisible.
+    def lost(*_):
+        raise OSError("lost")
 
-def test_half_written_days_stay_invisible(spark, store, contract, monkeypatch):
-    load(spark, store, contract, [txn(1, "01")])
-    before = stored(store)
-    monkeypatch.setattr(
-        "ledgerline.sources.store.subfolders", lambda *_: (_ for _ in ()).throw(OSError("lost"))
-    )
+    monkeypatch.setattr("ledgerline.sources.store.subfolders", lost)
     with pytest.raises(OSError, match="lost"):
         load(spark, store, contract, [txn(1, "01", status="failed"), txn(2, "01")])
     monkeypatch.undo()
-    assert stored(store) == before
+    assert stored(store) == {"TXN-0001": ("completed", False, "2024-02-01")}
+
+    kept = load(spark, store, contract, clash, on_conflict="latest")
+    assert kept["status"] == "success"
+    assert stored(store)["TXN-0002"][2] == "2024-02-21"
 
 
 def test_empty_batch(spark, store, contract):
@@ -168,16 +186,6 @@ def test_empty_batch(spark, store, contract):
     assert store.bronze.read().count() == 0 and store.summary.read().count() == 0
 
 
-def test_incremental_summary_equals_rebuild(spark, store, contract):
-    load(spark, store, contract, [txn(n, f"{n % 5 + 1:02d}") for n in range(20)], summary=True)
-    load(spark, store, contract, [txn(n, "02", amount="7.77") for n in range(15, 25)], summary=True)
-    incremental = sorted(map(tuple, store.summary.read().select(*SUMMARY_CONTENT).collect()))
-    rebuild_summary(store)
-    rebuilt = sorted(map(tuple, store.summary.read().select(*SUMMARY_CONTENT).collect()))
-    assert incremental == rebuilt and rebuilt
-    refresh_summary(store, [])
-
-
 def test_day_labels_are_bounded(spark):
     days = ["2024-02-29", "0001-01-01", "9999-12-31"]
     frame = spark.createDataFrame([(d,) for d in days], "d string").selectExpr(
@@ -190,18 +198,20 @@ def test_day_labels_are_bounded(spark):
     ]
 
 
-def test_stream_equals_batch(spark, store, contract, tmp_path):
+def test_stream_takes_each_file_once(spark, store, contract, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
     deliveries = [
         [txn(1, "01"), txn(2, "02"), txn(3, "02", status="done")],
-        [txn(2, "02", status="failed"), txn(4, "04"), {**txn(1, "01"), "transaction_id": "TXN-0A"}],
+        [txn(2, "02", status="failed"), txn(4, "04"), {**txn(1, "01"), "transaction_id": "TXN-0000"}],
         ["not json", txn(5, "01")],
     ]
 
     def deliver(n):
         lines = [r if isinstance(r, str) else json.dumps(r) for r in deliveries[n]]
-        (landing / f"part-{n}.json").write_text("\n".join(lines) + "\n")
+        part = landing / f"part-{n}.json"
+        part.write_text("\n".join(lines) + "\n")
+        os.utime(part, (1_700_000_000 + n, 1_700_000_000 + n))
 
     def drain():
         query = start_ingest_stream(
@@ -214,29 +224,18 @@ def test_stream_equals_batch(spark, store, contract, tmp_path):
     drain()
     deliver(2)
     drain()
-    drain()
-    batch = Store(spark, str(tmp_path / "batch"))
-    for records in deliveries:
-        load(spark, batch, contract, records)
-    assert stored(store) == stored(batch) and len(stored(store)) == 5
+    assert stored(store) == {
+        "TXN-0001": ("completed", True, "2024-02-01"),
+        "TXN-0000": ("completed", False, "2024-02-01"),
+        "TXN-0002": ("failed", False, "2024-02-02"),
+        "TXN-0004": ("completed", False, "2024-02-04"),
+        "TXN-0005": ("completed", False, "2024-02-01"),
+    }
     assert store.runs.current("run_id").count() == 3
     reasons = {r["error_reason"] for r in store.quarantine.read().collect()}
     assert reasons == {"payload: not_an_object", "status: invalid_status (got 'done')"}
 
 
-def test_exports(spark, store, contract, tmp_path):
-    load(spark, store, contract, [txn(1, "01"), record(amount="0", merchant_name='a "b", c')])
-    export_csv(quarantine_listing(store.quarantine.read()), str(tmp_path / "csv"))
-    back = spark.read.csv(str(tmp_path / "csv"), header=True, escape='"')
-    (row,) = back.collect()
-    assert back.columns[:3] == ["transaction_id", "error_count", "error_reason"]
-    assert json.loads(row["raw_payload"])["merchant_name"] == 'a "b", c'
-    export_json(watermark_snapshot(store, DEFAULT_SOURCE), str(tmp_path / "json"))
-    document = spark.read.json(str(tmp_path / "json")).first()
-    assert document["table_counts"]["raw_transactions"] == 1
-    assert document["last_run"]["status"] == "success"
-
-
 def test_run_ids_sort_by_time():
     start = datetime(2024, 1, 2, 3, 4, 5)
     one, two = new_run_id(start), new_run_id(start + timedelta(seconds=1))
@@ -247,4 +246,4 @@ def test_arguments_are_checked(spark, store, contract):
     with pytest.raises(ValueError, match="mode"):
         load(spark, store, contract, [GOOD], mode="partial")
     with pytest.raises(ValueError, match="on_conflict"):
-        load(spark, store, contract, [GOOD], on_conflict="ignore")
+        _batch(spark.range(1), "id", "ignore")
