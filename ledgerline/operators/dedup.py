@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A group larger than this is joined by broadcast instead of by shuffle.
+# A group of this many rows or more is joined by broadcast instead of by shuffle.
 HOT_GROUP_ROWS = 1_000_000
-# At most this many such groups are broadcast: one small row each.
-HOT_GROUPS = 1_000
+# At most this many such groups are broadcast, the largest first, one row of a
+# key and an id each: some 20 MB.  A group left to the shuffle is therefore
+# smaller than HOT_GROUP_ROWS or than one HOT_GROUPS-th of the table.
+HOT_GROUPS = 100_000
 
 
 def duplicate_groups(

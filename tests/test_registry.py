@@ -8,6 +8,7 @@ import duckdb
 import pytest
 from conftest import TESTDATA
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract_module
 from ledgerline.operators.dedup import flag_duplicates
@@ -93,14 +94,12 @@ def test_flags_need_no_window_and_prune_the_grouping(spark):
     assert narrow in plan
 
 
-def test_skewed_join_is_split(spark):
-    """Past the broadcast bound a large group is still split by the adaptive join."""
+def test_a_hot_group_is_spread_over_all_tasks(spark):
+    """A third of the rows share a key; the wide join gives no task more than its share."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.shuffle.partitions": "8",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
@@ -113,10 +112,18 @@ def test_skewed_join_is_split(spark):
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        flagged = flag_duplicates(rows, key="k", hot_group_rows=10**9)
-        plan = executed(flagged)
-        assert "skew=true" in plan
-        assert flagged.where("is_duplicate").count() == 60_000 - rows.select("k").distinct().count()
+        largest = {}
+        for hot_group_rows in (1_000, 10**9):
+            flagged = flag_duplicates(rows, key="k", hot_group_rows=hot_group_rows)
+            tasks = flagged.groupBy(F.spark_partition_id().alias("task")).agg(
+                F.count("*").alias("n"), F.count_if("is_duplicate").alias("d")
+            )
+            sizes = [(r["n"], r["d"]) for r in tasks.collect()]
+            duplicates = 60_000 - rows.select("k").distinct().count()
+            assert sum(d for _, d in sizes) == duplicates
+            largest[hot_group_rows] = max(n for n, _ in sizes)
+        assert largest[1_000] < 60_000 / 8 * 1.2
+        assert largest[10**9] > 20_000
     finally:
         for key, value in before.items():
             if value is None:
