@@ -154,6 +154,7 @@ def run_ingest(
     source: str = DEFAULT_SOURCE,
     on_conflict: str = "fail",
     summary: bool = False,
+    reset: bool = False,
     run_id: str | None = None,
     as_of: datetime | None = None,
 ) -> DataFrame:
@@ -161,11 +162,15 @@ def run_ingest(
 
     ``mode="full"`` takes every record; ``mode="incremental"`` takes those
     dated at or after the watermark less the lookback, or all of them when no
-    watermark exists yet.
+    watermark exists yet.  ``reset`` empties the store before a full load.
     """
+    if reset and mode != "full":
+        raise ValueError("only a full load can reset the store")
     if mode not in ("full", "incremental"):
         raise ValueError(f"mode must be 'full' or 'incremental', not {mode!r}")
     spark = store.spark
+    if reset:
+        store.reset()
     started_at = as_of or utc_now()
     run_id = run_id or new_run_id(started_at)
     previous = current_watermark(store, source)

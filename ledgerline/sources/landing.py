@@ -34,8 +34,18 @@ def parse_records(records: DataFrame, contract: Contract) -> DataFrame:
     Each contract field becomes a text column; ``_json`` is the payload with
     sorted keys and ``_keys`` lists its members, both NULL for what is no JSON
     or no object.  One projection per step, so that no step runs twice.
+
+    The parser stops after one value.  Read as the only element of an array,
+    a line that holds more than one record is refused instead of losing all
+    but the first.
     """
-    parsed = records.withColumn("_record", F.try_parse_json("payload"))
+    listed = records.withColumn(
+        "_list", F.try_parse_json(F.concat(F.lit("["), "payload", F.lit("]")))
+    )
+    alone = F.try_variant_get("_list", "$[1]", "variant").isNull()
+    parsed = listed.withColumn(
+        "_record", F.when(alone, F.try_variant_get("_list", "$[0]", "variant"))
+    ).drop("_list")
     fields = [
         F.try_variant_get("_record", f"$.{name}", "string").alias(name)
         for name in contract.record_fields

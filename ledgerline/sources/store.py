@@ -167,6 +167,11 @@ class Store:
     def runs(self) -> LogTable:
         return LogTable(self.spark, f"{self.root}/runs", schemas.RUNS)
 
+    def reset(self) -> None:
+        """Delete every table of the store."""
+        for table in (self.bronze, self.quarantine, self.summary, self.watermark, self.runs):
+            remove_folder(self.spark, table.path)
+
     @contextmanager
     def staged(self, rows: DataFrame, *partition_by: str) -> Iterator[DataFrame]:
         """``rows`` written as a table for the time of the block."""

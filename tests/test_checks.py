@@ -145,7 +145,7 @@ def test_last_value_of_a_repeated_key_counts(spark, contract):
     assert found(spark, contract, [text]) == [[]]
 
 
-@pytest.mark.parametrize("text", ["", "[1]", '"x"', "{bad", "null", "17"])
+@pytest.mark.parametrize("text", ["", "[1]", '"x"', "{bad", "null", "17", "{} x", "{}{}", "{}, {}"])
 def test_what_is_no_object(spark, contract, text):
     assert found(spark, contract, [text]) == [["payload: not_an_object"]]
 

@@ -180,8 +180,10 @@ def test_failed_run_keeps_watermark_and_rows(spark, store, contract, monkeypatch
     assert stored(store)["TXN-0002"][2] == "2024-02-21"
 
 
-def test_empty_batch(spark, store, contract):
-    report = load(spark, store, contract, [], summary=True)
+def test_empty_batch_after_reset(spark, store, contract):
+    load(spark, store, contract, [txn(1, "01")])
+    report = load(spark, store, contract, [], summary=True, reset=True)
+    assert store.runs.current("run_id").count() == 1
     assert (report["records_fetched"], report["new_watermark"]) == (0, None)
     assert store.bronze.read().count() == 0 and store.summary.read().count() == 0
 
@@ -245,5 +247,7 @@ def test_run_ids_sort_by_time():
 def test_arguments_are_checked(spark, store, contract):
     with pytest.raises(ValueError, match="mode"):
         load(spark, store, contract, [GOOD], mode="partial")
+    with pytest.raises(ValueError, match="reset"):
+        load(spark, store, contract, [GOOD], mode="incremental", reset=True)
     with pytest.raises(ValueError, match="on_conflict"):
         _batch(spark.range(1), "id", "ignore")
