@@ -26,12 +26,12 @@ HEADLINE = [
     "route_valid",
     "route_quarantine",
     "quarantine_reasons",
-    "natural_key_hashes",
+    "natural_key_hash",
     "flag_duplicates",
     "duplicate_pairs",
     "lineitem_duplicates",
     "upsert_merge",
-    "incremental_scan_since",
+    "incremental_scan",
     "stg_transactions",
     "daily_account_summary",
     "mart_left_join",

@@ -407,7 +407,7 @@ _ISO = "'%Y-%m-%dT%H:%M:%S'"
 
 ORACLES: dict[str, str] = {
     "landing_scan": _with(_TXN) + f"SELECT {_TXN_ROW} FROM txn",
-    "incremental_scan_since": _with(*_TO_BRONZE, _MARK)
+    "incremental_scan": _with(*_TO_BRONZE, _MARK)
     + f"SELECT {_TXN_ROW} FROM txn WHERE transaction_date >= {_START}",
     "stable_page": _with(_TXN)
     + f"SELECT {_TXN_ROW} FROM txn ORDER BY transaction_date, transaction_id LIMIT 200 OFFSET 400",
@@ -450,10 +450,10 @@ ORACLES: dict[str, str] = {
       FROM quarantine""",
     "quarantine_reasons": _with(_TXN, _CHECKED, _QUARANTINE)
     + "SELECT error_reason, count(*) AS record_count FROM quarantine GROUP BY 1 ORDER BY 2 DESC, 1",
-    "natural_keys": _with(_TXN) + f"SELECT transaction_id, {_KEY} AS natural_key FROM txn",
-    "natural_key_hashes": _with(_TXN)
+    "natural_key": _with(_TXN) + f"SELECT transaction_id, {_KEY} AS natural_key FROM txn",
+    "natural_key_hash": _with(_TXN)
     + f"SELECT transaction_id, sha256({_KEY}) AS natural_key_hash FROM txn",
-    "payload_keys": _with(*_TO_JSON)
+    "payload_key": _with(*_TO_JSON)
     + """SELECT transaction_id, canonical AS payload, sha256(canonical) AS quarantine_key
       FROM checked_json""",
     "table_checksum": _with(*_TO_MART)
@@ -509,7 +509,7 @@ ORACLES: dict[str, str] = {
     + """SELECT transaction_id, error_count, error_reason, 'run-1' AS ingestion_run_id,
         TIMESTAMP '2024-04-01' AS ingestion_timestamp, raw_payload
       FROM quarantine ORDER BY error_count DESC, transaction_id""",
-    "pipeline_summary": _with(*_TO_MART)
+    "warehouse_summary": _with(*_TO_MART)
     + """SELECT (SELECT count(*) FROM flagged) AS raw_transactions,
         (SELECT count(*) FROM flagged WHERE is_duplicate) AS raw_flagged_duplicate,
         (SELECT count(*) FROM checked WHERE len(found) > 0) AS quarantined,
@@ -549,15 +549,15 @@ ORACLES: dict[str, str] = {
         previous AS previous_watermark, newest AS new_watermark,
         CAST(NULL AS VARCHAR) AS error_message
       FROM loads ORDER BY started_at""",
-    "latest_run_row": _with(*_TO_REPORT)
+    "latest_run": _with(*_TO_REPORT)
     + """SELECT run_id, 'success' AS status, fetched AS records_fetched, newest AS new_watermark
       FROM loads ORDER BY stamp DESC LIMIT 1""",
-    "watermark_row": _with(*_TO_REPORT)
+    "watermark_upsert": _with(*_TO_REPORT)
     + """SELECT source_name, newest AS watermark_value,
         strptime(start, '%Y-%m-%dT%H:%M:%SZ') AS effective_request_from, run_id AS last_run_id,
         stamp AS last_run_at, 'success' AS last_run_status, valid AS records_ingested
       FROM loads WHERE run_id = 'load-2'""",
-    "watermark_counts": _with(*_TO_REPORT)
+    "watermark_snapshot": _with(*_TO_REPORT)
     + """SELECT newest AS watermark_value,
         strptime(start, '%Y-%m-%dT%H:%M:%SZ') AS effective_request_from, run_id,
         (SELECT count(*) FROM flagged) AS raw_transactions,

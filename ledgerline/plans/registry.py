@@ -50,8 +50,8 @@ CONTENT = list(checksum.SUMMARY_CONTENT)
 
 
 def register(build: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
-    """Register a query under the name of its function."""
-    QUERIES[build.__name__] = lambda spark, sf_dir: build(warehouse(spark, sf_dir))
+    """Register a query under the name of its function, less a trailing underscore."""
+    QUERIES[build.__name__.rstrip("_")] = lambda spark, sf_dir: build(warehouse(spark, sf_dir))
     return build
 
 
@@ -70,7 +70,7 @@ def _first_mark(w: Warehouse) -> F.Column:
 
 
 @register
-def incremental_scan_since(w: Warehouse) -> DataFrame:
+def incremental_scan_(w: Warehouse) -> DataFrame:
     return incremental_scan(w.txn, _first_mark(w), LOOKBACK_DAYS)
 
 
@@ -175,13 +175,13 @@ def quarantine_reasons(w: Warehouse) -> DataFrame:
 
 
 @register
-def natural_keys(w: Warehouse) -> DataFrame:
+def natural_key_(w: Warehouse) -> DataFrame:
     values = {f: F.col(f) for f in w.contract.record_fields}
     return w.txn.select("transaction_id", natural_key(w.contract, values).alias("natural_key"))
 
 
 @register
-def natural_key_hashes(w: Warehouse) -> DataFrame:
+def natural_key_hash_(w: Warehouse) -> DataFrame:
     values = {f: F.col(f) for f in w.contract.record_fields}
     return w.txn.select(
         "transaction_id", natural_key_hash(w.contract, values).alias("natural_key_hash")
@@ -189,7 +189,7 @@ def natural_key_hashes(w: Warehouse) -> DataFrame:
 
 
 @register
-def payload_keys(w: Warehouse) -> DataFrame:
+def payload_key_(w: Warehouse) -> DataFrame:
     return w.checked_payloads.select(
         "transaction_id", "payload", payload_key(F.col("payload")).alias("quarantine_key")
     )
@@ -318,8 +318,8 @@ def quarantine_sample(w: Warehouse) -> DataFrame:
 
 
 @register
-def pipeline_summary(w: Warehouse) -> DataFrame:
-    return reports.pipeline_summary(w.flagged, w.quarantine, w.summary)
+def warehouse_summary(w: Warehouse) -> DataFrame:
+    return reports.warehouse_summary(w.flagged, w.quarantine, w.summary)
 
 
 # Increments, runs and streams.
@@ -395,7 +395,7 @@ def run_audit(w: Warehouse) -> DataFrame:
 
 
 @register
-def latest_run_row(w: Warehouse) -> DataFrame:
+def latest_run_(w: Warehouse) -> DataFrame:
     store, _ = w.two_loads
     return latest_run(store.runs.current("run_id")).select(
         "run_id", "status", "records_fetched", "new_watermark"
@@ -403,13 +403,13 @@ def latest_run_row(w: Warehouse) -> DataFrame:
 
 
 @register
-def watermark_row(w: Warehouse) -> DataFrame:
+def watermark_upsert(w: Warehouse) -> DataFrame:
     store, _ = w.two_loads
     return store.watermark.current("source_name")
 
 
 @register
-def watermark_counts(w: Warehouse) -> DataFrame:
+def watermark_snapshot_(w: Warehouse) -> DataFrame:
     store, _ = w.two_loads
     return watermark_snapshot(store, routing.DEFAULT_SOURCE).select(
         "watermark_store.watermark_value",

@@ -72,7 +72,7 @@ def duplicate_pairs(flagged: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_summary(flagged: DataFrame, quarantine: DataFrame, summary: DataFrame) -> DataFrame:
+def warehouse_summary(flagged: DataFrame, quarantine: DataFrame, summary: DataFrame) -> DataFrame:
     """One row of counts, one aggregation per table.
 
     The reasons behind the quarantine count are a table of their own

@@ -20,16 +20,16 @@ QUERIES = contract_module.queries()
 ORACLES = contract_module.oracle_sql()
 # The rest is compared the same way by the driver; these stand for every kind of query.
 COMPARED = [
-    "incremental_scan_since",
+    "incremental_scan",
     "stable_page",
     "v_ts_calendar",
     "v_account_id",
     "validate_all",
     "validate_payloads",
-    "payload_keys",
+    "payload_key",
     "route_quarantine",
     "quarantine_reasons",
-    "natural_key_hashes",
+    "natural_key_hash",
     "flag_duplicates",
     "duplicate_pairs",
     "lineitem_duplicates",
@@ -37,7 +37,7 @@ COMPARED = [
     "daily_account_summary",
     "mart_left_join",
     "table_checksum",
-    "pipeline_summary",
+    "warehouse_summary",
     "quality_suite",
     "run_health",
     "reporting_amounts",
