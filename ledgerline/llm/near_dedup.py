@@ -347,3 +347,13 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def keep_one(
+    docs: DataFrame, *, words: int = 5, threshold: tuple[int, int] = (80, 100)
+) -> DataFrame:
+    """``docs`` without the rows that ``near_duplicates`` does not keep."""
+    found = near_duplicates(docs, words=words, threshold=threshold)
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    own = F.col("doc_id").cast("long")
+    return docs.join(gone, own == F.col("__gone"), "left_anti")

@@ -21,11 +21,15 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
 
 
+def hash_words(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
 def _factors(n: int) -> np.ndarray:
     odd = [xxhash.xxh3_64_intdigest(f"word {i}".encode()) | 1 for i in range(n)]
     return np.array(odd, dtype=np.uint64)
@@ -45,14 +49,14 @@ def shingle_sets(texts: Iterable[bytes | None], size: int) -> Iterator[tuple[byt
             yield b"", np.empty(0, dtype=np.uint64)
             continue
         digest = xxhash.xxh3_128_digest(b" ".join(words))
-        h = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+        h = hash_words(words)
         if len(h) < size:
             h = np.concatenate([h, np.zeros(size - len(h), dtype=np.uint64)])
         n = len(h) - size + 1
         total = h[:n] * factors[0]
         for i in range(1, size):
             total += h[i : i + n] * factors[i]
-        total = np.sort(_mixed(total))
+        total = np.sort(mix(total))
         fresh = np.empty(n, dtype=bool)
         fresh[0] = True
         np.not_equal(total[1:], total[:-1], out=fresh[1:])
