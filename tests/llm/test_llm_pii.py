@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+from llm_helpers import AWKWARD
+from pyspark.sql import functions as F
+
+from ledgerline.llm.pii import luhn, mod97, pii_summary
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def passes_luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def right(kind, hit):
+    digits = re.sub("[^0-9]", "", hit)
+    if kind == "ip":
+        return all(int(x) <= 255 for x in hit.split("."))
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and passes_luhn(digits)
+    return kind == "email" or 8 <= len(digits) <= 15
+
+
+def brute(text):
+    return [
+        f"{k}:{m.start()}:{m.end()}"
+        for k, p in PATTERNS.items()
+        for m in re.finditer(p, text or "")
+        if right(k, m[0])
+    ]
+
+
+def check(frame):
+    for text, row in zip([r["text"] for r in frame.collect()], pii_summary(frame).collect(), strict=True):
+        want = brute(text)
+        assert [row[f"n_{k}"] for k in PATTERNS] == [sum(w.startswith(k) for w in want) for k in PATTERNS]
+        assert row["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+        spans = [s for s in row["spans"].split(",") if s]
+        assert spans[: len(want)] == want and all(s.startswith("iban") for s in spans[len(want) :])
+        assert len([s for s in row["scores"].split(",") if s]) == len(spans)
+
+
+def test_given_documents(documents):
+    check(documents)
+
+
+def test_random_texts(docs):
+    rng = random.Random(6)
+    parts = ["a", "Z9", "@", ".", "+", "1", "42", "255", "256", " ", "-", "(", ")", "_", "%", "😀", "\n",
+             "4111111111111111", "4111 1111 1111 1112", "1.2.3.4", "x@y.zz", "+1 234 567 890"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(1500)]
+    check(docs([(i, t, "") for i, t in enumerate(texts)]))
+
+
+def test_long_runs_need_neither_stack_nor_square_time(docs):
+    runs = ["9" * 50_000, "1 " * 30_000, "1." * 30_000, "a" * 60_000, "a@" + "b." * 30_000 + "c", "+" + "1-" * 30_000]
+    check(docs([(i, t, "") for i, t in enumerate(runs)]))
+
+
+def test_awkward_rows(docs):
+    check(docs(AWKWARD))
+    assert pii_summary(docs([])).count() == 0
+
+
+def test_added_spans_and_scores(docs):
+    rows = [(1, "send it to my bank account DE89 3704 0044 0532 0130 00 today", ""),
+            (2, "DE89 3704 0044 0532 0130 01 and GB82WEST12345698765432", ""),
+            (3, "call my phone: +1 234 567 8901", ""), (4, "the score was +1 234 567 8901", "")]
+    out = {r["doc_id"]: (r["spans"], r["scores"]) for r in pii_summary(docs(rows)).collect()}
+    assert out[1] == ("iban:27:54", "1.0")
+    assert out[2][0] == "iban:32:54"
+    assert out[3] == ("phone:15:30", "0.8") and out[4] == ("phone:14:29", "0.3")
+
+
+@pytest.mark.parametrize("column", [luhn, mod97])
+def test_checksums(session, column):
+    rng = random.Random(2)
+    codes = ["".join(rng.choices("0123456789", k=rng.randint(5, 20))) for _ in range(300)]
+
+    def want(code):
+        return passes_luhn(code) if column is luhn else int(code[4:] + code[:4]) % 97 == 1
+
+    frame = session.createDataFrame([(c,) for c in codes], "c string")
+    assert [r[0] for r in frame.select(column(F.col("c"))).collect()] == [want(c) for c in codes]
