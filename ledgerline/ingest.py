@@ -29,14 +29,14 @@ from ledgerline.operators.routing import (
     quarantine_rows,
 )
 from ledgerline.operators.upsert import assert_unique, latest_per_key, upsert
-from ledgerline.operators.watermark import advance_watermark
+from ledgerline.operators.watermark import advanced
 from ledgerline.plans.staging import stg_transactions
 from ledgerline.plans.summary import daily_account_summary
 from ledgerline.sources.landing import requested_from as request_start
-from ledgerline.sources.landing import since
-from ledgerline.sources.store import DAY, DailyTable, Store
+from ledgerline.sources.landing import read_landing, since
+from ledgerline.sources.store import DAY, Store, subfolders
 
-# Days outside these years share one label, so there are never more labels than days here.
+# Days outside these years share labels, so there are never more labels than days here.
 FIRST_YEAR, LAST_YEAR = 1970, 2099
 UNDATED = "undated"
 
@@ -77,11 +77,14 @@ def quarantine_day() -> Column:
     """Day label of a quarantined payload.
 
     It depends on the payload alone, so a payload seen again falls into the
-    same day.  Dates that are missing, unreadable or far off share a label.
+    same day.  Where the date is missing, unreadable or far off, the label is one of
+    256 by the payload's key, so a run rewrites a small share of what is undated.
     """
     raw = F.get_json_object("raw_payload", "$.transaction_date")
     day = F.when(raw.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.substring(raw, 1, 10))
-    return _day_label(day.try_cast("date"))
+    label = _day_label(day.try_cast("date"))
+    bucket = F.concat(F.lit(f"{UNDATED}-"), F.substring("quarantine_key", 1, 2))
+    return F.when(label == UNDATED, bucket).otherwise(label)
 
 
 def _days(rows: DataFrame) -> list[str]:
@@ -99,8 +102,8 @@ def _batch(rows: DataFrame, key: str, on_conflict: str) -> DataFrame:
     raise ValueError(f"on_conflict must be 'fail' or 'latest', not {on_conflict!r}")
 
 
-def upsert_bronze(store: Store, valid: DataFrame, on_conflict: str) -> list[str]:
-    """Upsert and re-flag the days the batch touches; returns those days.
+def upsert_bronze(store: Store, valid: DataFrame, on_conflict: str) -> tuple[list[str], int]:
+    """Upsert and re-flag the days the batch touches; returns those days and the rows replaced.
 
     A replaced row may sit on another day than its new version, so the stored
     ids are matched first, reading two columns; only days that change are
@@ -110,17 +113,19 @@ def upsert_bronze(store: Store, valid: DataFrame, on_conflict: str) -> list[str]
     batch = _batch(valid, "transaction_id", on_conflict).withColumn(DAY, event_day())
     batch_days = _days(batch)
     stored = table.read_with_day()
-    moved_from = _days(
-        stored.select("transaction_id", DAY).join(
-            batch.select("transaction_id"), "transaction_id", "left_semi"
-        )
+    moved_from = dict(
+        stored.select("transaction_id", DAY)
+        .join(batch.select("transaction_id"), "transaction_id", "left_semi")
+        .groupBy(DAY)
+        .count()
+        .collect()
     )
     days = sorted({*batch_days, *moved_from})
     merged = upsert(stored.where(F.col(DAY).isin(days)), batch, "transaction_id")
     # Flagging reads its input three times, twice only a few columns of it.
     with store.staged(merged) as staged:
         table.replace(flag_duplicates(staged), days)
-    return days
+    return days, sum(moved_from.values())
 
 
 def upsert_quarantine(store: Store, invalid: DataFrame, on_conflict: str) -> None:
@@ -162,7 +167,12 @@ def run_ingest(
 
     ``mode="full"`` takes every record; ``mode="incremental"`` takes those
     dated at or after the watermark less the lookback, or all of them when no
-    watermark exists yet.  ``reset`` empties the store before a full load.
+    watermark exists yet.  A payload that is no JSON object has no date to go by and
+    is always taken, so it ends in quarantine in either mode.  ``reset`` empties the
+    store before a full load.
+
+    Every line is parsed once, into a staging table.  What has been loaded before is
+    best not handed in at all: see :func:`ingest_deliveries`.
     """
     if reset and mode != "full":
         raise ValueError("only a full load can reset the store")
@@ -191,24 +201,31 @@ def run_ingest(
     store.runs.append(one_row(spark, schemas.RUNS, audit))
     try:
         checked = check_payloads(records, contract)
-        if start is not None:
-            checked = checked.where(since(F.col("transaction_date"), utc_literal(start)))
-        # Parsing and checking happen once; everything after reads the result.
+        # Parsing and checking happen once; everything after reads the result.  A filter
+        # before this point would be pushed below the parse and repeat it.
         with store.staged(checked.withColumn("ok", is_valid()), "ok") as staged:
+            if start is not None:
+                dated = since(F.col("transaction_date"), utc_literal(start))
+                staged = staged.where(dated | ~F.col("is_object"))
             tallies = dict(staged.groupBy("ok").count().collect())
             audit["records_valid"] = tallies.get(True, 0)
             audit["records_quarantined"] = tallies.get(False, 0)
             audit["records_fetched"] = sum(tallies.values())
             valid = bronze_rows(staged.where("ok"), contract, source, run_id, started_at)
             invalid = quarantine_rows(staged.where("NOT ok"), source, run_id, started_at)
-            days = upsert_bronze(store, valid, on_conflict)
+            days, replaced = upsert_bronze(store, valid, on_conflict)
             upsert_quarantine(store, invalid, on_conflict)
         if summary:
             refresh_summary(store, days, as_of)
 
-        bronze = store.bronze.read()
-        duplicates = bronze.agg(F.count_if("is_duplicate")).first()[0]
-        newest = advance_watermark(utc_literal(previous), bronze).first()[0]
+        # One pass over two narrow columns, and one over the days of this run.
+        duplicates, newest = (
+            store.bronze.read()
+            .agg(F.count_if("is_duplicate"), advanced(utc_literal(previous)))
+            .first()
+        )
+        own = F.col("is_duplicate") & (F.col("ingestion_run_id") == run_id)
+        in_batch = store.bronze.read(days).agg(F.count_if(own)).first()[0]
         ended_at = as_of or utc_now()
         store.watermark.append(
             one_row(
@@ -229,6 +246,8 @@ def run_ingest(
             status="success",
             ended_at=ended_at,
             records_duplicate_flagged=duplicates,
+            records_new=audit["records_valid"] - replaced,
+            records_duplicate_in_batch=in_batch,
             new_watermark=newest,
         )
     except Exception as error:
@@ -256,3 +275,30 @@ def _report(spark: SparkSession, audit: dict[str, Any], lookback_days: int) -> D
         "duration_seconds": round((audit["ended_at"] - audit["started_at"]).total_seconds(), 3),
     }
     return one_row(spark, schemas.REPORT, values)
+
+
+def pending_deliveries(store: Store, root: str) -> list[str]:
+    """The folders below ``root`` that no run has loaded yet, by name."""
+    loaded = {r["delivery"] for r in store.deliveries.current("delivery").collect()}
+    return sorted(subfolders(store.spark, root) - loaded)
+
+
+def ingest_deliveries(
+    store: Store, root: str, contract: Contract, mode: str = "incremental", **options: Any
+) -> DataFrame | None:
+    """Load the delivery folders below ``root`` that are new, and remember them.
+
+    Files of earlier deliveries are not opened.  The folders are remembered after
+    the run, so a run that fails leaves them pending; loading one twice changes
+    nothing.  Returns the run's report, or None where nothing is pending.  The driver
+    holds the folder names.
+    """
+    pending = pending_deliveries(store, root)
+    if not pending:
+        return None
+    records = read_landing(store.spark, [f"{root}/{name}" for name in pending])
+    report = run_ingest(records, store, contract, mode=mode, **options)
+    run_id = report.first()["run_id"]
+    rows = [(name, run_id) for name in pending]
+    store.deliveries.append(store.spark.createDataFrame(rows, schemas.DELIVERIES))
+    return report

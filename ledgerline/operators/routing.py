@@ -24,13 +24,14 @@ def check_table(records: DataFrame, contract: Contract) -> DataFrame:
 
 
 def check_payloads(records: DataFrame, contract: Contract) -> DataFrame:
-    """Parse the ``payload`` texts and return fields, canonical payload and ``violations``.
+    """Parse the ``payload`` texts: fields, canonical payload, ``is_object``, ``violations``.
 
     A payload that is no JSON keeps its original text.
     """
     parsed = parse_records(records, contract)
     return parsed.select(
         *contract.record_fields,
+        F.col("_keys").isNotNull().alias("is_object"),
         F.coalesce(ascii_json(F.col("_json")), F.col("payload")).alias("payload"),
         violations(contract, json_view(contract)).alias("violations"),
     )

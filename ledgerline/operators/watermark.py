@@ -12,11 +12,14 @@ def high_water_mark(bronze: DataFrame) -> DataFrame:
     return bronze.agg(F.max("transaction_date").alias("high_water_mark"))
 
 
-def advance_watermark(previous: Column, bronze: DataFrame) -> DataFrame:
+def advanced(previous: Column) -> Column:
     """The later of the previous mark and the newest stored date; it never moves back."""
-    return high_water_mark(bronze).select(
-        F.greatest(previous, "high_water_mark").alias("watermark_value")
-    )
+    return F.greatest(previous, F.max("transaction_date")).alias("watermark_value")
+
+
+def advance_watermark(previous: Column, bronze: DataFrame) -> DataFrame:
+    newest = high_water_mark(bronze)
+    return newest.select(F.greatest(previous, "high_water_mark").alias("watermark_value"))
 
 
 def late_split(

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # ``d`` picks the defect of a record, ``pfx`` marks the second copy of a record.
 DEFECT = "event_id % 97"
+# The first of two loads ends here, the second starts at the watermark less the lookback.
+FIRST_LOAD_END = "2024-01-21"
 SECOND_COPY = "event_id % 70 = 0"
 
 TXN_COLUMNS = {
@@ -86,7 +88,20 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _txn_with_event(spark, sf_dir).select(*TXN_COLUMNS)
 
 
+# Which of two deliveries brings a payload: what is no JSON object comes second.
+DELIVERY = f"CASE WHEN transaction_date < '{FIRST_LOAD_END}' AND k NOT IN (10, 11) THEN 1 ELSE 2 END"
+
+
+def _payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _txn_with_event(spark, sf_dir).withColumn("k", F.expr("event_id % 89"))
+
+
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records as JSON texts, with type and key defects on top."""
-    records = _txn_with_event(spark, sf_dir).withColumn("k", F.expr("event_id % 89"))
-    return records.select(F.expr(PAYLOAD).alias("payload"))
+    return _payload_records(spark, sf_dir).select(F.expr(PAYLOAD).alias("payload"))
+
+
+def payload_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON texts with the delivery that brings each."""
+    records = _payload_records(spark, sf_dir)
+    return records.select(F.expr(PAYLOAD).alias("payload"), F.expr(DELIVERY).alias("delivery"))

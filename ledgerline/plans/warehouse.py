@@ -21,7 +21,7 @@ from ledgerline.operators.routing import (
     quarantine_rows,
     table_payload,
 )
-from ledgerline.plans.fixture import payloads, txn
+from ledgerline.plans.fixture import FIRST_LOAD_END, payload_deliveries, payloads, txn
 from ledgerline.plans.staging import stg_transactions
 from ledgerline.plans.summary import daily_account_summary
 from ledgerline.session import materialize, prepare_session, scratch_path
@@ -32,8 +32,6 @@ from ledgerline.streaming.ingest_stream import start_ingest_stream
 AS_OF = datetime(2024, 4, 1)
 RUN_ID = "run-1"
 LOOKBACK_DAYS = 2
-# The first of two loads ends here, the second starts at the watermark less the lookback.
-FIRST_LOAD_END = "2024-01-21"
 
 
 @dataclass(frozen=True, eq=False)
@@ -102,6 +100,32 @@ class Warehouse:
         ).text(root)
         return root
 
+    @cached_property
+    def payload_landing(self) -> str:
+        """The JSON records with their defects; what is no object arrives second."""
+        root = scratch_path(self.spark, "payload-landing")
+        records = payload_deliveries(self.spark, self.sf_dir)
+        records.withColumnRenamed("payload", "value").write.partitionBy("delivery").text(root)
+        return root
+
+    @cached_property
+    def payload_loads(self) -> Store:
+        """The two deliveries in two runs, the second one incremental over what is new."""
+        store = self._new_store("payloads")
+        for n in (1, 2):
+            # The second delivery is there, but a run names only what it is to load.
+            records = read_landing(self.spark, f"{self.payload_landing}/delivery={n}")
+            run_ingest(
+                records,
+                store,
+                self.contract,
+                mode="incremental",
+                lookback_days=LOOKBACK_DAYS,
+                run_id=f"load-{n}",
+                as_of=AS_OF,
+            )
+        return store
+
     @property
     def landed(self) -> DataFrame:
         return read_landing(self.spark, f"{self.landing}/delivery=*")
@@ -197,6 +221,8 @@ class Warehouse:
             "records_valid",
             "records_quarantined",
             F.coalesce("records_duplicate_flagged", F.lit(0)).alias("records_duplicate_flagged"),
+            F.col("records_valid").alias("records_new"),
+            F.coalesce("records_duplicate_flagged", F.lit(0)).alias("records_duplicate_in_batch"),
             F.lit(None).cast("timestamp_ntz").alias("previous_watermark"),
             "new_watermark",
             F.lit(None).cast("string").alias("error_message"),

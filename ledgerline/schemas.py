@@ -4,80 +4,101 @@ from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
-
-def layout(columns: str) -> StructType:
-    """A schema from lines of ``type: name name ...`` parts, in column order."""
-    schema = StructType()
-    for line in columns.strip().splitlines():
-        kind, names = line.split(":")
-        for name in names.split():
-            schema.add(name, kind.strip())
-    return schema
-
-
-BRONZE = layout(
-    """
-    string: transaction_id account_id
-    timestamp_ntz: transaction_date
-    string: transaction_date_raw
-    decimal(18,2): amount
-    string: currency transaction_type merchant_name merchant_category status country_code
-    string: natural_key_hash
-    boolean: is_duplicate
-    string: duplicate_of_transaction_id source_system source_payload ingestion_run_id
-    timestamp_ntz: ingestion_timestamp
-    """
+# Fixed layouts: names, types and their order.
+BRONZE = (
+    StructType()
+    .add("transaction_id", "string")
+    .add("account_id", "string")
+    .add("transaction_date", "timestamp_ntz")
+    .add("transaction_date_raw", "string")
+    .add("amount", "decimal(18,2)")
+    .add("currency", "string")
+    .add("transaction_type", "string")
+    .add("merchant_name", "string")
+    .add("merchant_category", "string")
+    .add("status", "string")
+    .add("country_code", "string")
+    .add("natural_key_hash", "string")
+    .add("is_duplicate", "boolean")
+    .add("duplicate_of_transaction_id", "string")
+    .add("source_system", "string")
+    .add("source_payload", "string")
+    .add("ingestion_run_id", "string")
+    .add("ingestion_timestamp", "timestamp_ntz")
 )
 
-QUARANTINE = layout(
-    """
-    string: quarantine_key transaction_id error_reason
-    integer: error_count
-    string: raw_payload source_system ingestion_run_id
-    timestamp_ntz: ingestion_timestamp
-    """
+QUARANTINE = (
+    StructType()
+    .add("quarantine_key", "string")
+    .add("transaction_id", "string")
+    .add("error_reason", "string")
+    .add("error_count", "integer")
+    .add("raw_payload", "string")
+    .add("source_system", "string")
+    .add("ingestion_run_id", "string")
+    .add("ingestion_timestamp", "timestamp_ntz")
 )
 
-WATERMARK = layout(
-    """
-    string: source_name
-    timestamp_ntz: watermark_value effective_request_from
-    string: last_run_id
-    timestamp_ntz: last_run_at
-    string: last_run_status
-    long: records_ingested
-    """
+WATERMARK = (
+    StructType()
+    .add("source_name", "string")
+    .add("watermark_value", "timestamp_ntz")
+    .add("effective_request_from", "timestamp_ntz")
+    .add("last_run_id", "string")
+    .add("last_run_at", "timestamp_ntz")
+    .add("last_run_status", "string")
+    .add("records_ingested", "long")
 )
 
-RUNS = layout(
-    """
-    string: run_id source_name run_mode
-    timestamp_ntz: requested_from started_at ended_at
-    string: status
-    long: records_fetched records_valid records_quarantined records_duplicate_flagged
-    timestamp_ntz: previous_watermark new_watermark
-    string: error_message
-    """
+RUNS = (
+    StructType()
+    .add("run_id", "string")
+    .add("source_name", "string")
+    .add("run_mode", "string")
+    .add("requested_from", "timestamp_ntz")
+    .add("started_at", "timestamp_ntz")
+    .add("ended_at", "timestamp_ntz")
+    .add("status", "string")
+    .add("records_fetched", "long")
+    .add("records_valid", "long")
+    .add("records_quarantined", "long")
+    .add("records_duplicate_flagged", "long")
+    .add("records_new", "long")
+    .add("records_duplicate_in_batch", "long")
+    .add("previous_watermark", "timestamp_ntz")
+    .add("new_watermark", "timestamp_ntz")
+    .add("error_message", "string")
 )
 
-SUMMARY = layout(
-    """
-    string: account_id
-    date: transaction_date
-    decimal(18,2): total_debit_amount total_credit_amount net_amount
-    long: transaction_count distinct_merchants
-    string: top_category currencies
-    timestamp_ntz: updated_at
-    """
+SUMMARY = (
+    StructType()
+    .add("account_id", "string")
+    .add("transaction_date", "date")
+    .add("total_debit_amount", "decimal(18,2)")
+    .add("total_credit_amount", "decimal(18,2)")
+    .add("net_amount", "decimal(18,2)")
+    .add("transaction_count", "long")
+    .add("distinct_merchants", "long")
+    .add("top_category", "string")
+    .add("currencies", "string")
+    .add("updated_at", "timestamp_ntz")
 )
 
-REPORT = layout(
-    """
-    string: run_id run_mode source_name requested_from
-    long: records_fetched records_valid records_quarantined records_duplicate_flagged
-    string: previous_watermark new_watermark
-    integer: lookback_days
-    double: duration_seconds
-    string: status
-    """
+REPORT = (
+    StructType()
+    .add("run_id", "string")
+    .add("run_mode", "string")
+    .add("source_name", "string")
+    .add("requested_from", "string")
+    .add("records_fetched", "long")
+    .add("records_valid", "long")
+    .add("records_quarantined", "long")
+    .add("records_duplicate_flagged", "long")
+    .add("previous_watermark", "string")
+    .add("new_watermark", "string")
+    .add("lookback_days", "integer")
+    .add("duration_seconds", "double")
+    .add("status", "string")
 )
+
+DELIVERIES = StructType().add("delivery", "string").add("run_id", "string")

@@ -13,8 +13,8 @@ from ledgerline.functions.checks import RecordView
 from ledgerline.functions.times import back_days, format_utc
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """One row per JSON line, in the column ``payload``."""
+def read_landing(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per JSON line of a folder or of several, in the column ``payload``."""
     return spark.read.text(path).withColumnRenamed("value", "payload")
 
 

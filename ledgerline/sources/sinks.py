@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.combine import side_by_side
+from ledgerline.operators.routing import reason_counts
+from ledgerline.plans.reports import warehouse_summary
 from ledgerline.sources.store import Store
 
 
@@ -21,6 +23,14 @@ def export_json(document: DataFrame, path: str) -> None:
     document.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def export_summary(
+    flagged: DataFrame, quarantine: DataFrame, summary: DataFrame, path: str
+) -> None:
+    """The summary document: ``counts`` as one JSON line, ``quarantine_reasons`` as one each."""
+    export_json(warehouse_summary(flagged, quarantine, summary), f"{path}/counts")
+    reason_counts(quarantine).write.mode("overwrite").json(f"{path}/quarantine_reasons")
+
+
 def watermark_snapshot(store: Store, source: str) -> DataFrame:
     """One row: the stored watermark, the latest run and the table counts."""
     mark = store.watermark.current("source_name").where(F.col("source_name") == source)

@@ -23,7 +23,7 @@ from ledgerline import schemas
 
 DAY = "event_day"
 WRITE = "write"
-COMMITS = schemas.layout("string: day folder\nlong: version")
+COMMITS = StructType().add("day", "string").add("folder", "string").add("version", "long")
 
 
 def read_or_empty(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
@@ -116,6 +116,31 @@ class DailyTable:
         commit_rows.coalesce(1).write.mode("append").parquet(self._commit_path)
 
 
+    def remove_replaced(self, older_than: float) -> int:
+        """Delete day folders that a later write replaced; returns how many.
+
+        Only folders replaced at least ``older_than`` seconds ago go, so that a reader
+        that began before the replacement can end.  Like a write, this needs the
+        table for itself.
+        """
+        newest = time.time_ns() - int(older_than * 1e9)
+        rows = self._commits().collect()
+        latest = {}
+        for row in sorted(rows, key=lambda r: r["version"]):
+            latest[row["day"]] = row
+        gone = {
+            (row["day"], row["folder"])
+            for row in rows
+            if row["folder"] and row["folder"] != latest[row["day"]]["folder"]
+            and latest[row["day"]]["version"] <= newest
+        }
+        files = _folder(self.spark, self.path)[1]
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        return sum(
+            files.delete(path(f"{self.path}/{folder}/{DAY}={day}"), True) for day, folder in gone
+        )
+
+
 @dataclass(frozen=True)
 class LogTable:
     """A small append-only table; the latest row per key is its current state."""
@@ -167,15 +192,27 @@ class Store:
     def runs(self) -> LogTable:
         return LogTable(self.spark, f"{self.root}/runs", schemas.RUNS)
 
+    @property
+    def deliveries(self) -> LogTable:
+        return LogTable(self.spark, f"{self.root}/deliveries", schemas.DELIVERIES)
+
+    def remove_replaced(self, older_than: float = 86_400) -> int:
+        """Delete what later runs replaced, in all tables kept by day."""
+        tables = (self.bronze, self.quarantine, self.summary)
+        return sum(table.remove_replaced(older_than) for table in tables)
+
     def reset(self) -> None:
         """Delete every table of the store."""
-        for table in (self.bronze, self.quarantine, self.summary, self.watermark, self.runs):
+        logs = (self.watermark, self.runs, self.deliveries)
+        for table in (self.bronze, self.quarantine, self.summary, *logs):
             remove_folder(self.spark, table.path)
 
     @contextmanager
     def staged(self, rows: DataFrame, *partition_by: str) -> Iterator[DataFrame]:
         """``rows`` written as a table for the time of the block."""
         path = f"{self.root}/staging/{uuid.uuid4().hex}"
-        rows.write.partitionBy(*partition_by).parquet(path)
-        yield self.spark.read.schema(rows.schema).parquet(path)
-        remove_folder(self.spark, path)
+        try:
+            rows.write.partitionBy(*partition_by).parquet(path)
+            yield self.spark.read.schema(rows.schema).parquet(path)
+        finally:
+            remove_folder(self.spark, path)

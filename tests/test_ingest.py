@@ -6,12 +6,15 @@ from datetime import datetime, timedelta
 
 import pytest
 from helpers import GOOD, payload_frame, record
+from pyspark.sql import functions as F
 
 from ledgerline.ingest import (
     _batch,
     current_watermark,
     event_day,
+    ingest_deliveries,
     new_run_id,
+    pending_deliveries,
     rebuild_summary,
     refresh_summary,
     run_ingest,
@@ -20,7 +23,13 @@ from ledgerline.operators.checksum import SUMMARY_CONTENT
 from ledgerline.operators.routing import DEFAULT_SOURCE
 from ledgerline.operators.upsert import BatchKeyConflict
 from ledgerline.plans.reports import quarantine_listing
-from ledgerline.sources.sinks import export_csv, export_json, latest_run, watermark_snapshot
+from ledgerline.sources.sinks import (
+    export_csv,
+    export_json,
+    export_summary,
+    latest_run,
+    watermark_snapshot,
+)
 from ledgerline.streaming.ingest_stream import start_ingest_stream
 
 
@@ -125,6 +134,108 @@ def test_incremental_reads_the_lookback_only(spark, store, contract):
     assert third["new_watermark"] == "2024-02-10T10:00:00"
 
 
+def test_corrupt_lines_are_quarantined_in_either_mode(spark, store, contract):
+    load(spark, store, contract, [txn(1, "10")], mode="incremental")
+    corrupt = ["no json", '["TXN-0002"]', '{"transaction_id": "TXN-0003"', json.dumps(txn(4, "11"))]
+    report = load(spark, store, contract, corrupt, mode="incremental")
+    assert (report["records_fetched"], report["records_quarantined"]) == (4, 3)
+    assert {r["error_reason"] for r in store.quarantine.read().collect()} == {
+        "payload: not_an_object"
+    }
+    run = store.runs.current("run_id").where(F.col("run_id") == report["run_id"]).first()
+    assert (run["records_new"], run["records_duplicate_in_batch"]) == (1, 0)
+    again = load(spark, store, contract, corrupt, mode="incremental")
+    run = store.runs.current("run_id").where(F.col("run_id") == again["run_id"]).first()
+    assert run["records_new"] == 0 and store.quarantine.read().count() == 3
+
+
+def test_only_new_deliveries_are_opened(spark, store, contract, tmp_path):
+    def deliver(name, *records):
+        (tmp_path / "in" / name).mkdir(parents=True)
+        lines = "".join(json.dumps(r) + "\n" for r in records)
+        (tmp_path / "in" / name / "part.json").write_text(lines)
+
+    root = str(tmp_path / "in")
+    deliver("d1", txn(1, "01"), txn(2, "02"))
+    assert ingest_deliveries(store, root, contract).first()["records_fetched"] == 2
+    assert ingest_deliveries(store, root, contract) is None
+    (tmp_path / "in" / "d1" / "part.json").write_text("what is loaded is not read again")
+    deliver("d2", txn(3, "02"))
+    deliver("d3", txn(2, "02", status="failed"))
+    assert pending_deliveries(store, root) == ["d2", "d3"]
+    assert ingest_deliveries(store, root, contract).first()["records_fetched"] == 2
+    assert store.quarantine.read().count() == 0
+    assert {t: s for t, (s, _, _) in stored(store).items()} == {
+        "TXN-0001": "completed", "TXN-0002": "failed", "TXN-0003": "completed",
+    }
+
+
+def test_each_line_is_parsed_once(spark, store, contract, monkeypatch):
+    """The records reach the staging table by one parse, and no filter stands before it."""
+    plans = []
+    staged = type(store).staged
+
+    def seen(self, rows, *partition_by):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return staged(self, rows, *partition_by)
+
+    load(spark, store, contract, [txn(1, "01")], mode="incremental")
+    monkeypatch.setattr(type(store), "staged", seen)
+    load(spark, store, contract, [txn(2, "03")], mode="incremental")
+    assert plans[0].count("parseJson") == 1 and "Filter" not in plans[0]
+
+
+def test_replaced_folders_can_be_removed(spark, store, contract):
+    for _ in range(3):
+        load(spark, store, contract, [txn(1, "01"), txn(2, "02")])
+    files = lambda: sum("2024-02" in d and any(f.startswith("part") for f in fs) for d, _, fs in os.walk(store.root))
+    before = stored(store)
+    assert files() == 6 and store.remove_replaced() == 0
+    assert store.remove_replaced(older_than=0) == 4
+    assert files() == 2 and stored(store) == before
+    load(spark, store, contract, [txn(1, "01", status="failed")])
+    assert stored(store)["TXN-0001"][0] == "failed"
+
+
+def test_a_failed_run_leaves_no_staging(spark, store, contract, monkeypatch):
+    load(spark, store, contract, [txn(1, "01")])
+
+    def lost(*_):
+        raise OSError("lost")
+
+    monkeypatch.setattr("ledgerline.sources.store.subfolders", lost)
+    with pytest.raises(OSError, match="lost"):
+        load(spark, store, contract, [txn(2, "01")])
+    staging = os.path.join(store.root, "staging")
+    assert not os.path.exists(staging) or os.listdir(staging) == []
+
+
+def test_undated_quarantine_is_split_by_key(spark, store, contract):
+    load(spark, store, contract, [f"no json {n}" for n in range(40)])
+    labels = {d for d, _ in store.quarantine._current()}
+    assert len(labels) > 20 and all(d.startswith("undated-") for d in labels)
+    load(spark, store, contract, ["no json 7"])
+    assert store.quarantine.read().count() == 40
+
+
+def test_summary_document(spark, store, contract, tmp_path):
+    bad = [txn(n, "01", currency="usd") for n in (1, 2)] + [txn(3, "01", status="done")]
+    load(spark, store, contract, [*bad, txn(4, "02"), txn(5, "03")], summary=True)
+    tables = (store.bronze.read(), store.quarantine.read(), store.summary.read())
+    export_summary(*tables, str(tmp_path / "out"))
+
+    def lines(name):
+        folder = tmp_path / "out" / name
+        return [json.loads(x) for f in folder.glob("part*") for x in f.read_text().splitlines()]
+
+    assert lines("counts") == [
+        {"raw_transactions": 2, "raw_flagged_duplicate": 0, "quarantined": 3,
+         "daily_account_summary_rows": 2, "distinct_accounts": 1}
+    ]
+    reasons = {r["error_reason"]: r["record_count"] for r in lines("quarantine_reasons")}
+    assert sorted(reasons.values()) == [1, 2]
+
+
 def test_moved_rows_leave_their_old_day(spark, store, contract):
     """Only the days a run touches are summarised again, to the same effect as all of them."""
     load(spark, store, contract, [txn(n, f"{n:02d}") for n in (1, 2, 5)], summary=True)
