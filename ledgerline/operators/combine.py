@@ -7,9 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a lookup table may have to be copied to every executor.
-MAX_BROADCAST_ROWS = 100_000
-
 
 def side_by_side(*one_row_tables: DataFrame) -> DataFrame:
     """One row with the columns of several one-row tables."""
@@ -17,13 +14,3 @@ def side_by_side(*one_row_tables: DataFrame) -> DataFrame:
         lambda a, b: a.unionByName(b, allowMissingColumns=True), one_row_tables
     )
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
-
-
-def broadcast_if_small(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup table for broadcast once a count shows that it is small.
-
-    Beyond the bound the join is left to the planner, which splits skewed keys.
-    """
-    if table.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(table)
-    return table

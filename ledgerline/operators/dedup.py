@@ -37,19 +37,21 @@ def flag_duplicates(
     order: str = "transaction_date",
     row_id: str = "transaction_id",
     hot_group_rows: int = HOT_GROUP_ROWS,
+    hot_groups: int = HOT_GROUPS,
 ) -> DataFrame:
     """Set ``is_duplicate`` and ``duplicate_of_transaction_id`` over the whole table.
 
     Rows meet their group's survivor instead of being sorted together in one
     task.  The largest groups receive theirs by broadcast, bounded by
-    ``HOT_GROUPS`` rows, and their rows take a join key of their own so that
+    ``hot_groups`` rows, and their rows take a join key of their own so that
     they spread evenly; all other rows are joined by a shuffle on the key.
+    Neither bound changes the result.
     """
     groups = duplicate_groups(rows, key, order, row_id)
     hot = (
         groups.where(F.col("_group_size") >= hot_group_rows)
         .orderBy(F.desc("_group_size"), key)
-        .limit(HOT_GROUPS)
+        .limit(hot_groups)
         .select(F.col(key).alias("_hot_key"), F.col("_survivor").alias("_hot_survivor"))
     )
     cold = groups.select(F.col(key).alias("_join_key"), "_survivor")

@@ -14,7 +14,6 @@ from pyspark.sql.window import Window
 
 from ledgerline.contract import Contract
 from ledgerline.functions.times import utc_literal
-from ledgerline.operators.combine import broadcast_if_small
 from ledgerline.plans.summary import GRAIN, MONEY
 from ledgerline.sources.landing import parse_records
 
@@ -74,12 +73,16 @@ def quarantine_rate_alerts(runs: DataFrame) -> DataFrame:
 
 
 def duplicate_rate_steps(runs: DataFrame) -> DataFrame:
-    """Runs whose duplicate rate jumps above the factor of its trailing baseline."""
+    """Runs whose duplicate rate jumps above the factor of its trailing baseline.
+
+    The rate is that of the batch: duplicates among the rows a run brought, not all
+    that the table holds by then.
+    """
     rated = runs.select(
         "run_id",
         "source_name",
         "started_at",
-        _rate("records_duplicate_flagged", "records_valid").alias("rate"),
+        _rate("records_duplicate_in_batch", "records_valid").alias("rate"),
     )
     baseline = F.avg("rate").over(_trailing_days(BASELINE_DAYS))
     step = F.col("rate") > RATE_FACTOR * F.col("baseline")
@@ -95,15 +98,30 @@ def new_reasons(batch: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def daily_counts(bronze: DataFrame) -> DataFrame:
+    """Rows of every calendar day from the first to the last one; days without rows count 0."""
     day = F.col("transaction_date").cast("date").alias("day")
-    return bronze.groupBy(day).agg(F.count("*").alias("row_count"))
+    found = bronze.groupBy(day).agg(F.count("*").alias("row_count"))
+    return every_day(found)
+
+
+def every_day(counts: DataFrame) -> DataFrame:
+    """``day``, ``row_count`` without gaps: one row per calendar day."""
+    days = counts.agg(
+        F.sequence(F.min("day"), F.max("day"), F.make_dt_interval(days=F.lit(1))).alias("days")
+    ).select(F.explode("days").alias("day"))
+    return days.join(counts, "day", "left").select(
+        "day", F.coalesce("row_count", F.lit(0)).alias("row_count")
+    )
 
 
 def volume_anomalies(counts: DataFrame) -> DataFrame:
     """Days whose count leaves the band around the mean of the trailing days.
 
-    ``counts`` has one row per calendar day, whatever the size of the table.
+    ``counts`` has at most one row per calendar day, whatever the size of the table.
+    A day that is missing between the first and the last one is a day of 0 rows: it
+    is judged, and it counts in the mean of the days after it.
     """
+    counts = every_day(counts)
     trailing = Window.orderBy(F.unix_date("day")).rangeBetween(-VOLUME_DAYS, -1)
     banded = counts.withColumn("mean", F.avg("row_count").over(trailing)).withColumn(
         "spread", F.stddev("row_count").over(trailing)
@@ -120,9 +138,13 @@ def run_health(runs: DataFrame, now: datetime) -> DataFrame:
     timed = runs.withColumn("duration", duration)
     in_order = Window.partitionBy("source_name").orderBy("started_at", "run_id")
     usual = F.percentile("duration", 0.5).over(_trailing_days(BASELINE_DAYS))
-    stuck = (F.col("new_watermark") == F.lag("new_watermark", 1).over(in_order)) & (
-        F.col("records_fetched") > 0
-    )
+    # Unchanged in this run and in the one before, while both brought rows not seen before.
+    unmoved = F.col("new_watermark") == F.lag("new_watermark", 1).over(in_order)
+    brought = F.col("records_new") > 0
+    both = lambda c: c & F.lag(c, 1).over(in_order)
+    timed = timed.withColumn("_unmoved", F.coalesce(unmoved, F.lit(False)) & brought)
+    stuck = both(F.col("_unmoved"))
+    business_day = F.weekday("started_at") < 5
     newest = F.max(F.when(F.col("status") == "success", F.col("ended_at"))).over(
         Window.partitionBy("source_name")
     )
@@ -131,7 +153,7 @@ def run_health(runs: DataFrame, now: datetime) -> DataFrame:
         "failed": F.col("status") == "failed",
         "slow": F.col("duration") > DURATION_FACTOR * usual,
         "stuck_watermark": stuck,
-        "zero_rows": F.col("records_fetched") == 0,
+        "zero_rows": business_day & (F.col("records_valid") == 0),
         "stale_source": stale,
     }
     return timed.select(
@@ -161,7 +183,8 @@ def reporting_amounts(completed: DataFrame, rates: DataFrame) -> DataFrame:
 
     ``rates`` holds ``currency``, ``transaction_date`` and ``rate``.  Rows are
     summed per currency before they meet the rates, so a currency with a
-    third of all rows reaches the join as one row per account-day.
+    third of all rows reaches the join as one row per account-day.  Whether the
+    rates are broadcast is left to adaptive execution, which knows their size.
     """
     signed = F.when(F.col("transaction_type") == "credit", F.col("amount")).otherwise(
         -F.col("amount")
@@ -169,9 +192,7 @@ def reporting_amounts(completed: DataFrame, rates: DataFrame) -> DataFrame:
     native = completed.groupBy(*GRAIN, "currency").agg(
         F.sum(signed).cast(MONEY).alias("net_amount")
     )
-    converted = native.join(
-        broadcast_if_small(rates), ["currency", "transaction_date"], "left"
-    )
+    converted = native.join(rates, ["currency", "transaction_date"], "left")
     return converted.groupBy(*GRAIN).agg(
         F.sum(F.col("net_amount") * F.col("rate")).cast(MONEY).alias("net_reporting_amount"),
         F.count_if(F.col("rate").isNull()).alias("currencies_without_rate"),

@@ -7,7 +7,7 @@ takes the plain route: windows, joins and correlated checks.
 from __future__ import annotations
 
 from ledgerline.contract import CATEGORIES, CURRENCIES, STATUSES, TRANSACTION_TYPES
-from ledgerline.plans.fixture import DEFECT, PAYLOAD, SECOND_COPY, TXN_COLUMNS
+from ledgerline.plans.fixture import DEFECT, DELIVERY, PAYLOAD, SECOND_COPY, TXN_COLUMNS
 
 
 def _listed(values: tuple[str, ...]) -> str:
@@ -180,9 +180,9 @@ spend AS (
     CAST(sum(amount) AS DECIMAL(18,2)) AS category_amount
   FROM done GROUP BY ALL),
 top AS (
-  SELECT account_id, transaction_date, merchant_category AS top_category FROM spend
-  QUALIFY row_number() OVER (PARTITION BY account_id, transaction_date
-    ORDER BY category_amount DESC, merchant_category) = 1),
+  SELECT account_id, transaction_date,
+    arg_min(merchant_category, {'less': -category_amount, 'name': merchant_category}) AS top_category
+  FROM spend GROUP BY ALL),
 totals AS (
   SELECT account_id, transaction_date,
     CAST(coalesce(sum(amount) FILTER (transaction_type = 'debit'), 0) AS DECIMAL(18,2)) AS total_debit_amount,
@@ -227,9 +227,10 @@ _STAMPED = """'landing.transactions' AS source_system, payload AS source_payload
 _TXN_ROW = ", ".join(_FIELDS)
 _RAW_PAYLOAD = f"""
 raw AS (
-  SELECT {PAYLOAD} AS payload FROM (SELECT *, event_id % 89 AS k FROM txn)),
+  SELECT {PAYLOAD} AS payload, {DELIVERY} AS delivery
+  FROM (SELECT *, event_id % 89 AS k FROM txn)),
 objects AS (
-  SELECT payload, CASE WHEN json_valid(payload) THEN
+  SELECT payload, delivery, CASE WHEN json_valid(payload) THEN
       CASE WHEN json_type(payload) = 'OBJECT' THEN payload END END AS p FROM raw)"""
 
 
@@ -390,12 +391,17 @@ load_counts AS (
     count(*) FILTER (len(found) > 0)
   FROM checked WHERE transaction_date >= {_START}),
 dup_counts AS (
-  SELECT 'load-1' AS run_id, count(*) AS dup FROM flagged
-  WHERE is_duplicate AND transaction_date_raw < '2024-01-21'
-  UNION ALL SELECT 'load-2', count(*) FROM flagged WHERE is_duplicate),
+  SELECT 'load-1' AS run_id, count(*) FILTER (is_duplicate) AS dup,
+    count(*) FILTER (is_duplicate) AS batch_dup, count(*) AS fresh
+  FROM flagged WHERE transaction_date_raw < '2024-01-21'
+  UNION ALL
+  SELECT 'load-2', count(*) FILTER (is_duplicate),
+    count(*) FILTER (is_duplicate AND transaction_date_raw >= {_START}),
+    count(*) FILTER (transaction_date_raw >= '2024-01-21')
+  FROM flagged),
 loads AS (
   SELECT run_id, 'incremental' AS run_mode, 'landing.transactions' AS source_name,
-    CAST(start AS VARCHAR) AS start, fetched, valid, bad, dup,
+    CAST(start AS VARCHAR) AS start, fetched, valid, bad, dup, batch_dup, fresh,
     CASE WHEN run_id = 'load-2' THEN (SELECT mark FROM mark) END AS previous,
     CASE WHEN run_id = 'load-1' THEN (SELECT mark FROM mark)
          ELSE (SELECT max(transaction_date) FROM bronze) END AS newest,
@@ -515,6 +521,16 @@ ORACLES: dict[str, str] = {
         (SELECT count(*) FROM checked WHERE len(found) > 0) AS quarantined,
         (SELECT count(*) FROM mart) AS daily_account_summary_rows,
         (SELECT count(DISTINCT account_id) FROM mart) AS distinct_accounts""",
+    "pipeline_summary": _with(*_TO_MART, _QUARANTINE)
+    + """SELECT 'quarantine_reasons' AS member, error_reason AS name, count(*) AS value
+      FROM quarantine GROUP BY error_reason
+      UNION ALL SELECT 'counts', 'raw_transactions', (SELECT count(*) FROM flagged)
+      UNION ALL SELECT 'counts', 'raw_flagged_duplicate',
+        (SELECT count(*) FROM flagged WHERE is_duplicate)
+      UNION ALL SELECT 'counts', 'quarantined', (SELECT count(*) FROM quarantine)
+      UNION ALL SELECT 'counts', 'daily_account_summary_rows', (SELECT count(*) FROM mart)
+      UNION ALL SELECT 'counts', 'distinct_accounts',
+        (SELECT count(DISTINCT account_id) FROM mart)""",
     "advance_watermark": _with(*_TO_BRONZE, _MARK)
     + """SELECT greatest((SELECT mark FROM mark), max(transaction_date)) AS watermark_value
       FROM bronze""",
@@ -527,6 +543,10 @@ ORACLES: dict[str, str] = {
     + "SELECT * EXCLUDE (raw_date) FROM quarantine",
     "ingest_incremental": _with(*_TO_LOADS)
     + f"SELECT {_BUSINESS}, load AS ingestion_run_id FROM merged",
+    "ingest_incremental_payloads": _with(*_TO_JSON)
+    + """SELECT sha256(canonical) AS quarantine_key, transaction_id,
+        array_to_string(found, '; ') AS error_reason, 'load-' || delivery AS ingestion_run_id
+      FROM checked_json WHERE len(found) > 0""",
     "incremental_summary": _ALL_SUMMARY,
     "summary_rebuild": _ALL_SUMMARY,
     "replay_idempotent": _with(*_TO_FLAGGED)
@@ -545,10 +565,19 @@ ORACLES: dict[str, str] = {
     + """SELECT run_id, source_name, run_mode,
         strptime(start, '%Y-%m-%dT%H:%M:%SZ') AS requested_from, stamp AS started_at, stamp AS ended_at,
         'success' AS status, fetched AS records_fetched, valid AS records_valid,
-        bad AS records_quarantined, dup AS records_duplicate_flagged,
-        previous AS previous_watermark, newest AS new_watermark,
+        bad AS records_quarantined, dup AS records_duplicate_flagged, fresh AS records_new,
+        batch_dup AS records_duplicate_in_batch, previous AS previous_watermark, newest AS new_watermark,
         CAST(NULL AS VARCHAR) AS error_message
       FROM loads ORDER BY started_at""",
+    "duplicate_steps_of_loads": _with(*_TO_REPORT)
+    + f"""SELECT run_id, round(rate, 9) AS rate, round(baseline, 9) AS baseline,
+        coalesce(rate > 3 * baseline, false) AS alert
+      FROM (SELECT run_id, rate, avg(rate) OVER w AS baseline
+            FROM (SELECT run_id, stamp AS started_at, CAST(batch_dup AS DOUBLE) / valid AS rate
+                  FROM loads) {_WEEK})""",
+    "health_of_replays": """SELECT 'replay-' || n AS run_id, false AS failed, false AS slow,
+        false AS stuck_watermark, count(*) = 0 AS zero_rows, false AS stale_source
+      FROM events, range(1, 3) t(n) GROUP BY n""",
     "latest_run": _with(*_TO_REPORT)
     + """SELECT run_id, 'success' AS status, fetched AS records_fetched, newest AS new_watermark
       FROM loads ORDER BY stamp DESC LIMIT 1""",
@@ -577,7 +606,7 @@ ORACLES: dict[str, str] = {
         SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) > 1)""",
     "q_net_amount": _with(*_TO_MART)
     + """SELECT account_id, transaction_date FROM mart
-      WHERE abs(abs(net_amount) - (total_credit_amount - total_debit_amount)) > 0.005""",
+      WHERE abs(net_amount - (total_credit_amount - total_debit_amount)) > 0.005""",
     "q_reconcile": _with(*_TO_MART)
     + """SELECT (SELECT count(*) FROM done) AS expected_rows,
         (SELECT CAST(coalesce(sum(transaction_count), 0) AS BIGINT) FROM mart) AS actual_rows""",
@@ -595,22 +624,26 @@ ORACLES: dict[str, str] = {
     + f"""SELECT DISTINCT error_reason FROM quarantine WHERE raw_date >= {_START}
         AND error_reason NOT IN (SELECT error_reason FROM quarantine WHERE raw_date < {_START})""",
     "volume_anomalies": _with(*_TO_BRONZE)
-    + """SELECT day, n AS row_count, round(mean, 6) AS mean, round(spread, 6) AS spread,
+    + """, found AS (SELECT CAST(transaction_date AS DATE) AS day, count(*) AS n FROM bronze GROUP BY 1),
+      days AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
+        FROM found)
+      SELECT day, n AS row_count, round(mean, 6) AS mean, round(spread, 6) AS spread,
         coalesce(abs(n - mean) > 3 * spread, false) AS anomaly
       FROM (SELECT day, n, avg(n) OVER w AS mean, stddev_samp(n) OVER w AS spread
-            FROM (SELECT CAST(transaction_date AS DATE) AS day, count(*) AS n FROM bronze GROUP BY 1)
+            FROM (SELECT day, coalesce(n, 0) AS n FROM days LEFT JOIN found USING (day))
             WINDOW w AS (ORDER BY day RANGE BETWEEN INTERVAL 30 DAY PRECEDING
               AND INTERVAL 1 DAY PRECEDING))""",
     "run_health": _with(*_TO_RUNS)
     + f"""SELECT run_id, valid = 0 AS failed,
         coalesce(fetched > 3 * median(fetched) OVER w, false) AS slow,
-        coalesce(mark = lag(mark) OVER (ORDER BY started_at, run_id) AND fetched > 0, false)
+        coalesce(unmoved AND lag(unmoved) OVER (ORDER BY started_at, run_id), false)
           AS stuck_watermark,
-        fetched = 0 AS zero_rows,
+        valid = 0 AND isodow(started_at) < 6 AS zero_rows,
         coalesce(date_diff('second', max(CASE WHEN valid > 0 THEN started_at
             + to_seconds(fetched) END) OVER (), TIMESTAMP '2024-04-01') > 26 * 3600, false)
           AS stale_source
-      FROM runs {_WEEK}""",
+      FROM (SELECT *, coalesce(mark = lag(mark) OVER (ORDER BY started_at, run_id), false)
+              AND valid > 0 AS unmoved FROM runs) {_WEEK}""",
     "lookback_from_lag": _with(*_TO_BRONZE)
     + """SELECT CAST(min(lag_days) AS BIGINT) AS lookback_days FROM (
         SELECT lag_days, sum(n) OVER (ORDER BY lag_days) AS running, sum(n) OVER () AS total

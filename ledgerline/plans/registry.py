@@ -13,9 +13,9 @@ from ledgerline.functions.times import back_days, format_utc
 from ledgerline.operators import checksum, dedup, monitoring, quality, routing, watermark
 from ledgerline.operators.upsert import upsert
 from ledgerline.plans import reports, summary
-from ledgerline.plans.fixture import load, payloads
+from ledgerline.plans.fixture import FIRST_LOAD_END, load, payloads
 from ledgerline.plans.staging import completed
-from ledgerline.plans.warehouse import AS_OF, FIRST_LOAD_END, LOOKBACK_DAYS, Warehouse, warehouse
+from ledgerline.plans.warehouse import AS_OF, LOOKBACK_DAYS, Warehouse, warehouse
 from ledgerline.session import materialize
 from ledgerline.sources.landing import (
     incremental_scan,
@@ -322,6 +322,12 @@ def warehouse_summary(w: Warehouse) -> DataFrame:
     return reports.warehouse_summary(w.flagged, w.quarantine, w.summary)
 
 
+@register
+def pipeline_summary(w: Warehouse) -> DataFrame:
+    """The document of the same counts and the reasons, one row per reason."""
+    return reports.pipeline_summary(w.flagged, w.quarantine, w.summary)
+
+
 # Increments, runs and streams.
 
 
@@ -354,6 +360,14 @@ def ingest_incremental(w: Warehouse) -> DataFrame:
     return store.bronze.read().select(*BUSINESS, "ingestion_run_id")
 
 
+@register
+def ingest_incremental_payloads(w: Warehouse) -> DataFrame:
+    """The quarantine of both loads: payloads without a date are taken by either."""
+    return w.payload_loads.quarantine.read().select(
+        "quarantine_key", "transaction_id", "error_reason", "ingestion_run_id"
+    )
+
+
 @register
 def incremental_summary(w: Warehouse) -> DataFrame:
     store, _ = w.two_loads
@@ -394,6 +408,25 @@ def run_audit(w: Warehouse) -> DataFrame:
     return store.runs.current("run_id").orderBy("started_at")
 
 
+def _rounded(alerts: DataFrame) -> DataFrame:
+    return alerts.select(
+        "run_id", F.round("rate", 9).alias("rate"), F.round("baseline", 9).alias("baseline"), "alert"
+    )
+
+
+@register
+def duplicate_steps_of_loads(w: Warehouse) -> DataFrame:
+    """The rule on the audit that the runs themselves wrote."""
+    store, _ = w.two_loads
+    return _rounded(monitoring.duplicate_rate_steps(store.runs.current("run_id")))
+
+
+@register
+def health_of_replays(w: Warehouse) -> DataFrame:
+    """Two loads of the same records: the second one brings nothing new and is healthy."""
+    return monitoring.run_health(w.replayed_store.runs.current("run_id"), AS_OF)
+
+
 @register
 def latest_run_(w: Warehouse) -> DataFrame:
     store, _ = w.two_loads
@@ -449,9 +482,7 @@ _test(
 )
 _test(
     "q_net_amount",
-    lambda w: quality.net_amount_mismatch(
-        w.summary.withColumn("net_amount", F.abs("net_amount"))
-    ).select("account_id", "transaction_date"),
+    lambda w: quality.net_amount_mismatch(w.summary).select("account_id", "transaction_date"),
 )
 _test("q_reconcile", lambda w: quality.reconciliation(w.staging, w.summary))
 _test(

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.combine import side_by_side
 from ledgerline.operators.dedup import duplicate_members
+from ledgerline.operators.routing import reason_counts
 
+# The exports' column layouts below and these row counts.
 SUMMARY_SAMPLE_ROWS = 100
 BRONZE_SAMPLE_ROWS = 50
 
@@ -90,3 +92,22 @@ def warehouse_summary(flagged: DataFrame, quarantine: DataFrame, summary: DataFr
             F.count_distinct("account_id").alias("distinct_accounts"),
         ),
     )
+
+
+def pipeline_summary(
+    flagged: DataFrame, quarantine: DataFrame, summary: DataFrame
+) -> DataFrame:
+    """The counts and all quarantine reasons as members: ``member``, ``name``, ``value``.
+
+    A document in long form, as there is no bound on how many reasons there are.
+    """
+    counts = warehouse_summary(flagged, quarantine, summary)
+    listed = F.array(
+        *(F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in counts.columns)
+    )
+    reasons = reason_counts(quarantine).select(
+        F.lit("quarantine_reasons").alias("member"),
+        F.col("error_reason").alias("name"),
+        F.col("record_count").alias("value"),
+    )
+    return counts.select(F.lit("counts").alias("member"), F.inline(listed)).unionByName(reasons)

@@ -72,38 +72,38 @@ def _finish(summary: DataFrame, as_of: datetime | None) -> DataFrame:
 def daily_account_summary(staging: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """One row per account and UTC day over the completed transactions.
 
-    One scan feeds three groupings of the same day: by category, by merchant
-    and by currency.  The first aggregation is spread over those finer keys
-    and combined inside each task, so an account-day with a large share of
-    all rows is spread too; the second combines the few rows left per day.
+    One scan feeds three groupings of the same day: by category, by merchant and
+    by currency.  Rows are first summed up by all three together, inside each task
+    and then over a shuffle on these finer keys, so an account-day with a large
+    share of all rows is spread; only the sums are then laid out once per view.
     Row order is left to the reader: it would not survive a stored table.
     """
-    rows = completed(staging).select(
-        *GRAIN, "merchant_category", "merchant_name", "currency", "transaction_type", "amount"
-    )
-    day = [F.col(c) for c in GRAIN]
-    views = {name: F.col(name) for name in ("merchant_category", "merchant_name", "currency")}
-    # Each row once per view; the view's number keeps the three apart.
-    faces = rows.select(
-        *day,
-        "transaction_type",
-        "amount",
-        F.posexplode(F.array(*views.values())).alias("view", "label"),
+    views = ["merchant_category", "merchant_name", "currency"]
+    rows = completed(staging).select(*GRAIN, *views, "transaction_type", "amount")
+    side = lambda name: F.sum(F.when(F.col("transaction_type") == name, F.col("amount")))
+    sums = rows.groupBy(*GRAIN, *views).agg(
+        side("debit").alias("debit"),
+        side("credit").alias("credit"),
+        F.sum("amount").alias("spend"),
+        F.count("*").alias("n"),
     )
+    # Each sum once per view; the view's number keeps the three apart.
+    faces = sums.select(
+        *GRAIN, "debit", "credit", "spend", "n",
+        F.posexplode(F.array(*views)).alias("view", "label"),
+    )
     by_category, by_merchant, by_currency = (F.col("view") == n for n in range(3))
-    debit = F.when(by_category & (F.col("transaction_type") == "debit"), F.col("amount"))
-    credit = F.when(by_category & (F.col("transaction_type") == "credit"), F.col("amount"))
     fine = faces.groupBy(*GRAIN, "view", "label").agg(
-        F.sum(debit).alias("debit"),
-        F.sum(credit).alias("credit"),
-        F.sum(F.when(by_category, F.col("amount"))).alias("spend"),
-        F.count("*").alias("n"),
+        F.sum("debit").alias("debit"),
+        F.sum("credit").alias("credit"),
+        F.sum("spend").alias("spend"),
+        F.sum("n").alias("n"),
     )
     # Per day only the rows of one view count towards each measure.
     rank = F.when(by_category, F.struct(-F.col("spend"), F.col("label")))
     summary = fine.groupBy(*GRAIN).agg(
-        money(F.sum("debit")).alias("total_debit_amount"),
-        money(F.sum("credit")).alias("total_credit_amount"),
+        money(F.sum(F.when(by_category, F.col("debit")))).alias("total_debit_amount"),
+        money(F.sum(F.when(by_category, F.col("credit")))).alias("total_credit_amount"),
         F.sum(F.when(by_category, F.col("n"))).alias("transaction_count"),
         F.count_if(by_merchant & F.col("label").isNotNull()).alias("distinct_merchants"),
         F.min_by("label", rank).alias("top_category"),

@@ -49,9 +49,9 @@ def test_earliest_then_lowest_id_survives(spark):
     assert members == {"TXN-0001", "TXN-0002", "TXN-0003"}
 
 
-@pytest.mark.parametrize("hot_group_rows", [2, 20, 10_000])
-def test_flags_match_brute_force_with_a_hot_group(spark, hot_group_rows):
-    """A third of all rows share one key, whatever way a group is joined."""
+@pytest.mark.parametrize(("hot_group_rows", "hot_groups"), [(2, 100_000), (2, 3), (20, 1), (10_000, 1)])
+def test_flags_match_brute_force_with_a_hot_group(spark, hot_group_rows, hot_groups):
+    """A third of all rows share one key; both bounds are exceeded, and neither matters."""
     rng = random.Random(5)
     rows = []
     for n in range(900):
@@ -59,7 +59,9 @@ def test_flags_match_brute_force_with_a_hot_group(spark, hot_group_rows):
         rows.append((f"T{rng.randrange(10**9):09d}-{n}", rng.randrange(5), key))
     frame = spark.createDataFrame(rows, "transaction_id string, transaction_date int, k string")
     got = flags(
-        flag_duplicates(frame.repartition(7), key="k", hot_group_rows=hot_group_rows)
+        flag_duplicates(
+            frame.repartition(7), key="k", hot_group_rows=hot_group_rows, hot_groups=hot_groups
+        )
     )
     survivors: dict[str, tuple[int, str]] = {}
     for txn, date, key in rows:

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract_module
 from ledgerline.operators.dedup import flag_duplicates
+from ledgerline.plans.oracles import ORACLES
+from ledgerline.plans.registry import QUERIES
 from ledgerline.plans.summary import daily_account_summary
 from ledgerline.plans.warehouse import warehouse
 from ledgerline.session import materialize, scratch_root
 
-QUERIES = contract_module.queries()
-ORACLES = contract_module.oracle_sql()
 # The rest is compared the same way by the driver; these stand for every kind of query.
 COMPARED = [
     "incremental_scan",
@@ -41,6 +41,13 @@ COMPARED = [
     "quality_suite",
     "run_health",
     "reporting_amounts",
+    "pipeline_summary",
+    "ingest_incremental_payloads",
+    "run_audit",
+    "duplicate_steps_of_loads",
+    "health_of_replays",
+    "volume_anomalies",
+    "q_net_amount",
 ]
 
 
@@ -54,6 +61,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract_module.queries())
+    assert ORACLES.items() <= contract_module.oracle_sql().items()
     assert set(COMPARED) <= set(QUERIES)
 
 
@@ -80,7 +89,7 @@ def test_summary_plan_is_one_narrow_scan(spark):
     w = warehouse(spark, TESTDATA)
     plan = executed(daily_account_summary(w.staging))
     assert plan.count("FileScan") == 1
-    assert plan.count(" Exchange ") == 2
+    assert plan.count(" Exchange ") == 3
     assert "source_payload" not in plan and "Join" not in plan
     scan = re.search(r"PushedFilters: \[[^\]]*\]", plan)[0]
     assert "EqualTo(status,completed)" in scan and "is_duplicate" in scan

@@ -13,16 +13,16 @@ from ledgerline.plans.summary import daily_account_summary, daily_account_summar
 from ledgerline.plans.warehouse import AS_OF
 
 COLUMNS = ["account", "day", "amount", "type", "status", "merchant", "category", "currency", "key"]
+# Two days of one traveller, a shop that only refunds, and an account with nothing completed.
 SPECS = [
-    ("ACC-1001", 15, "100.00", "debit", "completed", "Amazon", "e-commerce", "USD", "1"),
-    ("ACC-1001", 15, "40.00", "debit", "completed", "Tesco", "groceries", "USD", "2"),
-    ("ACC-1001", 15, "250.00", "credit", "completed", "Payroll", "payroll", "USD", "3"),
-    ("ACC-1001", 15, "999.00", "debit", "pending", "Amazon", "e-commerce", "USD", "4"),
-    ("ACC-1001", 15, "500.00", "debit", "failed", "Amazon", "e-commerce", "USD", "5"),
-    ("ACC-1001", 15, "300.00", "debit", "reversed", "Amazon", "e-commerce", "USD", "6"),
-    ("ACC-1001", 16, "10.00", "debit", "completed", "Amazon", "e-commerce", "EUR", "7"),
-    ("ACC-2002", 15, "20.00", "debit", "completed", "Amazon", "e-commerce", "USD", "8"),
-    ("ACC-1001", 15, "100.00", "debit", "completed", "Amazon", "e-commerce", "USD", "1"),
+    ("ACC-0310", 3, "64.90", "debit", "completed", "Night Train", "travel", "CHF", "a"),
+    ("ACC-0310", 3, "12.35", "debit", "completed", "Station Cafe", "food_and_beverage", "EUR", "b"),
+    ("ACC-0310", 3, "12.35", "debit", "completed", "Station Cafe", "food_and_beverage", "EUR", "b"),
+    ("ACC-0310", 3, "7.05", "credit", "completed", "Station Cafe", "travel", "CHF", "c"),
+    ("ACC-0310", 4, "30.00", "debit", "completed", "Museum", "entertainment", "EUR", "d"),
+    ("ACC-0310", 4, "30.00", "debit", "completed", "Market", "groceries", "EUR", "e"),
+    ("ACC-0777", 3, "5.50", "credit", "completed", "Market", "retail", "GBP", "f"),
+    ("ACC-0900", 3, "81.00", "debit", "pending", "Museum", "travel", "EUR", "g"),
 ]
 
 
@@ -52,9 +52,9 @@ def test_small_summary(spark):
     )
     d = Decimal
     assert got == [
-        ("ACC-1001", date(2024, 1, 15), d("140.00"), d("250.00"), d("110.00"), 3, 3, "payroll", "USD", AS_OF),
-        ("ACC-1001", date(2024, 1, 16), d("10.00"), d("0.00"), d("-10.00"), 1, 1, "e-commerce", "EUR", AS_OF),
-        ("ACC-2002", date(2024, 1, 15), d("20.00"), d("0.00"), d("-20.00"), 1, 1, "e-commerce", "USD", AS_OF),
+        ("ACC-0310", date(2024, 1, 3), d("77.25"), d("7.05"), d("-70.20"), 3, 2, "travel", "CHF,EUR", AS_OF),
+        ("ACC-0310", date(2024, 1, 4), d("60.00"), d("0.00"), d("-60.00"), 2, 2, "entertainment", "EUR", AS_OF),
+        ("ACC-0777", date(2024, 1, 3), d("0.00"), d("5.50"), d("5.50"), 1, 1, "retail", "GBP", AS_OF),
     ]
     assert is_idempotent(lambda: daily_account_summary(stg), SUMMARY_CONTENT)
     assert daily_account_summary(stg).where("updated_at IS NULL").count() == 0
