@@ -96,16 +96,28 @@ class QualityModel:
         return run
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Weights by Newton's method; the ridge keeps them finite where classes part cleanly."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+    """Weights by Newton's method, each step halved until it lowers the loss.
+
+    The ridge holds the weights (but the intercept) where classes part cleanly.
+    """
     x = np.column_stack([np.ones(len(x)), x])
+    held = np.diag([1e-6, *np.full(x.shape[1] - 1, ridge)])
+
+    def loss(w: np.ndarray) -> float:
+        margin = x @ w
+        return float(weight @ (np.logaddexp(0, margin) - y * margin) + w @ held @ w / 2)
+
     w = np.zeros(x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        curve = (x * (weight * (p * (1 - p) + 1e-9))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(curve, x.T @ (weight * (y - p)) - ridge * w)
-        w += step
-        if np.abs(step).max() < 1e-9:
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + held
+        step = np.linalg.solve(curve, x.T @ (weight * (y - p)) - held @ w)
+        size, now = 1.0, loss(w)
+        while size > 1e-6 and loss(w + size * step) > now:
+            size /= 2
+        w = w + size * step
+        if np.abs(size * step).max() < 1e-8:
             break
     return w
 

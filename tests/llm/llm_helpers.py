@@ -5,7 +5,7 @@ from __future__ import annotations
 TESTDATA = "/root/testdata/sf0.001"
 
 # Nulls in any column, empty and blank texts, a long text, a repeated row.
-LONG = "\n".join(f"line {i} holds some words of a very long text number {i * i}" for i in range(3000))
+LONG = "\n".join(f"line {i} holds some words of a very long text number {i * i}" for i in range(250)) + "\n" + "and on " * 1500
 AWKWARD = [
     (None, None, None),
     (None, "no id here", "a"),

@@ -31,6 +31,21 @@ def test_tells_held_out_rows_apart(session, docs):
     assert all(0 <= r["score"] <= 1 for r in out.collect())
 
 
+def test_scores_are_probabilities(session, docs):
+    """With a tenth of the labels wrong, scores stay off 0 and 1 and match the shares."""
+    rng = random.Random(8)
+    rows, labels = labelled(1500, seed=2)
+    noisy = [(i, 1 - q if rng.random() < 0.1 else q, t) for i, q, t in labels]
+    frame = session.createDataFrame(noisy, "doc_id long, quality int, toxic int")
+    out = quality_scores(docs(rows), frame).collect()
+    truth = {i: q for i, q, _ in noisy}
+    for good in (0, 1):
+        held = [r for r in out if r["held_out"] and r["predicted"] == good]
+        share = sum(truth[r["doc_id"]] for r in held) / len(held)
+        assert abs(sum(r["score"] for r in held) / len(held) - share) < 0.1
+    assert sum(0.01 < r["score"] < 0.99 for r in out) > len(out) / 2
+
+
 def test_held_out_labels_are_not_read(session, docs):
     rows, labels = labelled(200)
     frame = lambda ls: session.createDataFrame(ls, "doc_id long, quality int, toxic int")
