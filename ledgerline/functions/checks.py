@@ -8,7 +8,7 @@ later checks only look at values its earlier checks let through.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
@@ -35,12 +35,14 @@ class RecordView:
 
     ``texts`` holds each field as text, NULL when absent or null.  ``kinds``
     holds the JSON type of each field; empty when every field is a string.
+    ``printed`` holds what a violation text prints, where that is not the text.
     ``unexpected`` lists the field names outside the contract, sorted, and
     ``is_object`` tells whether the payload is an object at all.
     """
 
     texts: Mapping[str, Column]
     kinds: Mapping[str, Column]
+    printed: Mapping[str, Column] = field(default_factory=dict)
     unexpected: Column | None = None
     is_object: Column | None = None
 
@@ -157,7 +159,10 @@ def field_checks(contract: Contract, view: RecordView) -> list[FieldCheck]:
             ],
         ),
     }
-    return [FieldCheck(f, p, v[f], view.kinds.get(f)) for f, p in problems.items()]
+    return [
+        FieldCheck(f, p, view.printed.get(f, v[f]), view.kinds.get(f))
+        for f, p in problems.items()
+    ]
 
 
 def violations(contract: Contract, view: RecordView) -> Column:

@@ -57,7 +57,8 @@ def float_text(text: Column) -> Column:
     with_exponent = F.concat(
         mantissa,
         F.when(exponent < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
+        F.when(F.abs(exponent) < 10, "0").otherwise(""),
+        F.abs(exponent).cast("string"),
     )
     digits = F.when(
         text.contains("E"),
@@ -72,7 +73,7 @@ def float_text(text: Column) -> Column:
 def shown(text: Column, kind: Column | None) -> Column:
     """The value as a violation text shows it; ``kind`` is its JSON type, None for strings.
 
-    Objects and arrays are shown as compact JSON.
+    Objects and arrays, given as JSON, are printed as Python literals.
     """
     if kind is None:
         return quoted(text)
@@ -83,10 +84,62 @@ def shown(text: Column, kind: Column | None) -> Column:
         .when(kind == "BOOLEAN", F.initcap(text))
         .when(wide_integer, text)
         .when(fractional, float_text(text))
+        .when(kind.rlike("^(ARRAY|OBJECT)"), literal_text(text))
         .otherwise(text)
     )
 
 
+# A string, or any other token, of a JSON text.
+_STRING = r'"(?:[^"\\]|\\.)*+"'
+_TOKENS = rf"({_STRING}|[-+0-9.eE]+|true|false|null|[\[\]{{}}:,])"
+_FRACTIONAL = r"-?[0-9]+(?:\.[0-9]+(?:[eE][+-]?[0-9]+)?|[eE][+-]?[0-9]+)"
+
+
+def _python_float(number: Column) -> Column:
+    """A JSON number with a fraction or an exponent as a Python float prints."""
+    return float_text(number.try_cast("double").cast("string"))
+
+
+def literal_text(json: Column) -> Column:
+    """A JSON list or object, nested to any depth, as Python prints its value."""
+
+    def token(t: Column) -> Column:
+        plain = F.get_json_object(F.concat(F.lit("["), t, F.lit("]")), "$[0]")
+        return (
+            F.when(t.startswith('"'), quoted(plain))
+            .when(t.isin(":", ","), F.concat(t, F.lit(" ")))
+            .when(t.isin("true", "false"), F.initcap(t))
+            .when(t == "null", "None")
+            .when(t.rlike("[.eE]"), _python_float(t))
+            .otherwise(t)
+        )
+
+    return F.array_join(F.transform(F.regexp_extract_all(json, F.lit(_TOKENS), F.lit(1)), token), "")
+
+
+def has_fraction(json: Column) -> Column:
+    return json.rlike("[0-9][.eE][-+0-9]")
+
+
+def marked_numbers(json: Column) -> Column:
+    """A JSON text whose fractional numbers became strings with a mark at both ends.
+
+    A parser that normalises numbers leaves them as they are then; see
+    :func:`unmarked_numbers`.  Strings of the text are matched first, so nothing
+    inside them is taken for a number.
+    """
+    both = F.regexp_replace(json, f"({_STRING})|({_FRACTIONAL})", r'$1"\\u0001$2\\u0001"')
+    return F.replace(both, F.lit(r'"\u0001\u0001"'), F.lit(""))
+
+
+def unmarked_numbers(json: Column) -> Column:
+    """The numbers that :func:`marked_numbers` hid, printed as Python floats."""
+    parts = F.split(json, r'"?\\u0001"?', -1)
+    return F.array_join(
+        F.transform(parts, lambda p, i: F.when(i % 2 == 1, _python_float(p)).otherwise(p)), ""
+    )
+
+
 def _json_unit(code: Column) -> Column:
     return F.concat(F.lit("\\u"), _hex(code, 4))
 

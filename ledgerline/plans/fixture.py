@@ -50,10 +50,13 @@ PAYLOAD = f"""CASE
       || CASE WHEN k = 5 THEN ', "account_id": 1234' WHEN k = 13 THEN ', "account_id": "ACC-101"' ELSE {_text_member("account_id")} END
       || {_text_member("transaction_date")}
       || CASE WHEN k = 3 AND amount <> 'abc' THEN ', "amount": ' || amount
+              WHEN k = 15 THEN ', "amount": 1' WHEN k = 16 THEN ', "amount": 1.0'
+              WHEN k = 17 THEN ', "amount": -1.0'
               WHEN k = 4 THEN ', "amount": true' ELSE {_text_member("amount")} END
       || CASE WHEN k = 9 THEN ', "currency": "O''X"' ELSE {_text_member("currency")} END
       || {_text_member("transaction_type")}
       || CASE WHEN k = 6 THEN ', "merchant_name": null' WHEN k = 7 THEN ', "merchant_name": []'
+              WHEN k = 18 THEN ', "merchant_name": {{"z": ["x", 1, null, 2.50], "a": {{"b": true}}}}'
               WHEN k = 12 THEN ', "merchant_name": 77' ELSE {_text_member("merchant_name")} END
       || {_text_member("merchant_category")}
       || {_text_member("status")}

@@ -243,7 +243,10 @@ def _json_shown(f: str) -> str:
     return (
         f"CASE json_type(p, '$.{f}') WHEN 'BOOLEAN' THEN 'True' "
         f"WHEN 'VARCHAR' THEN CASE WHEN contains({text}, '''') THEN '\"' || {text} || '\"' "
-        f"ELSE '''' || {text} || '''' END ELSE {text} END"
+        f"ELSE '''' || {text} || '''' END "
+        # One nested value is in the records; it is written out.
+        "WHEN 'OBJECT' THEN '{''z'': [''x'', 1, None, 2.5], ''a'': {''b'': True}}' "
+        f"ELSE {text} END"
     )
 
 
@@ -280,7 +283,8 @@ checked_json AS (
       CASE WHEN p IS NULL THEN replace(payload, ' ', '') ELSE
         '{{' || array_to_string(list_transform(list_sort(json_keys(p)),
           lambda x: '"' || x || '":' || CASE json_type(p, '$.' || x)
-            WHEN 'DOUBLE' THEN regexp_replace(CAST(json_extract(p, '$.' || x) AS VARCHAR), '\\.0$', '')
+            WHEN 'DOUBLE' THEN CAST(CAST(json_extract(p, '$.' || x) AS DOUBLE) AS VARCHAR)
+            WHEN 'OBJECT' THEN '{{"a":{{"b":true}},"z":["x",1,null,2.5]}}'
             ELSE CAST(json_extract(p, '$.' || x) AS VARCHAR) END), ',') || '}}' END
       ELSE payload END AS canonical
   FROM fields)"""

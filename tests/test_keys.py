@@ -97,3 +97,23 @@ def test_rebuild_proof(spark):
     sizes = iter((5, 6))
     proof = rebuild_proof(lambda: spark.range(next(sizes)), ["id"]).first()
     assert (proof["rows_before"], proof["rows_after"], proof["identical"]) == (5, 6, False)
+
+
+def test_canonical_payloads_match_python(spark, contract):
+    """Numbers, nested values and texts that look like numbers, as ``json.dumps`` writes them."""
+    values = [1, 1.0, -1.0, 0.0, 1e22, 1e-7, 123456.789, 10.5, 100, 12345678901234567, 1.5e300, True, None,
+              "1.0", "x 2.50 y", 'say "3.0"', "back\\slash 4.0", "é 5.0", [1.0, 2, "6.0"], {"z": 1.0, "a": [0.5, {"b": 2.0}]}]
+    payloads = [json.dumps({"b": 2.0, "a": v}) for v in values] + ['{"a": 1E5, "b": 1.50}']
+    frame = check_payloads(payload_frame(spark, payloads), contract).select("payload")
+    assert [r[0] for r in frame.collect()] == [
+        json.dumps(json.loads(p), sort_keys=True, separators=(",", ":")) for p in payloads
+    ]
+
+
+def test_lists_and_objects_are_printed_as_python_prints_them(spark, contract):
+    values = [["x", 1], [], {}, {"z": "x", "b": None, "c": True}, [[1.0, 1e22, -0.5], {"it's": 'a "b"'}], ["é\n", "a,b:c", False]]
+    payloads = [json.dumps(record(merchant_name=v)) for v in values]
+    frame = check_payloads(payload_frame(spark, payloads), contract).select("violations")
+    assert [r[0] for r in frame.collect()] == [
+        [f"merchant_name: empty_or_whitespace_only (got {v!r})"] for v in values
+    ]
