@@ -11,6 +11,9 @@ expanded, over the words of the other half.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,20 +25,40 @@ SPACE = r"[\x20\x09-\x0D]+"
 STEP = 8  # halves are rounded down to half this many words
 
 
-def words_of(line: Column) -> Column:
-    return F.array_remove(F.split(line, SPACE, -1), "")
+def normal(line: Column) -> Column:
+    """The words of a line with single spaces between them.
+
+    Most lines are that already, which plain searches tell; a pattern is run for the
+    others.  Texts are kept whole, as arrays of words would cost several times as much.
+    """
+    odd = [line.contains(c) for c in ("  ", "\t", "\v", "\f", "\r")]
+    odd += [line.startswith(" "), line.endswith(" ")]
+    tidy = F.trim(F.regexp_replace(line, SPACE, " "))
+    return F.when(reduce(or_, odd), tidy).otherwise(line)
+
+
+def _count(normal: Column) -> Column:
+    spaces = F.octet_length(normal) - F.octet_length(F.replace(normal, F.lit(" "), F.lit("")))
+    return F.when(normal == "", 0).otherwise(spaces + 1)
+
+
+def _first(normal: Column, n: Column) -> Column:
+    """The first n words, or the last -n."""
+    return F.call_function("substring_index", normal, F.lit(" "), n)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``line`` (from 0), ``words``, ``n`` of every line that is judged."""
+    """``doc_id``, ``line`` (from 0), ``words`` (as one text), ``n`` of the lines judged."""
     return (
         docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
         .select(
             F.col("doc_id").cast("long").alias("doc_id"),
             F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line", "t"),
         )
-        .select("doc_id", "line", words_of(F.col("t")).alias("words"))
-        .withColumn("n", F.size("words"))
+        # By way of one-element arrays: a filter on a generated column is not rewritten to
+        # the expression behind it, which would then run several times a line.
+        .select("doc_id", "line", F.explode(F.array(normal(F.col("t")))).alias("words"))
+        .select("*", F.explode(F.array(_count(F.col("words")))).alias("n"))
         .where(F.col("n") >= MIN_WORDS)
     )
 
@@ -66,8 +89,8 @@ def _halves() -> Column:
 
 def _half_rows(lines: DataFrame) -> DataFrame:
     """A row for each half offered, ``key`` being the hash of that half."""
-    h, front, n = F.col("half.h"), F.col("half.front"), F.col("n")
-    half = F.when(front, F.slice("words", F.lit(1), h)).otherwise(F.slice("words", n - h + 1, h))
+    h, front = F.col("half.h"), F.col("half.front")
+    half = _first(F.col("words"), F.when(front, h).otherwise(-h))
     return (
         lines.where(F.col("n") >= NEAR_WORDS)
         .withColumn("half", F.explode(_halves()))
@@ -76,10 +99,9 @@ def _half_rows(lines: DataFrame) -> DataFrame:
 
 
 def _rest() -> Column:
-    """The words beside the half, as one text."""
-    h, n = F.col("half.h"), F.col("n")
-    after, before = F.slice("words", h + 1, n - h), F.slice("words", F.lit(1), n - h)
-    return F.array_join(F.when(F.col("half.front"), after).otherwise(before), " ")
+    """The words beside the half."""
+    left = F.col("n") - F.col("half.h")
+    return _first(F.col("words"), F.when(F.col("half.front"), -left).otherwise(left))
 
 
 def _without(words: Column, i: Column) -> Column:
@@ -93,32 +115,23 @@ def _variants(near: DataFrame) -> DataFrame:
     is one replacement from the others.  A ``whole`` line is what a ``longer`` one
     becomes without a word.
     """
+    # A hash runs on from one array to the next, so the words before the gap and those
+    # after it hash like one array that lacks the word.
     words = F.split("first.rest", " ", -1)
     place = F.sequence(F.lit(1), F.size("words"))
-    same = F.transform(
-        place,
-        lambda i: F.struct(
-            F.xxhash64("key", F.lit("same"), i, _without(F.col("words"), i)).alias("variant"),
-            F.lit("same").alias("role"),
-        ),
-    )
-    longer = F.transform(
-        place,
-        lambda i: F.struct(
-            F.xxhash64("key", F.lit("whole"), _without(F.col("words"), i)).alias("variant"),
-            F.lit("longer").alias("role"),
-        ),
-    )
-    whole = F.array(
-        F.struct(
-            F.xxhash64("key", F.lit("whole"), F.col("words")).alias("variant"),
-            F.lit("whole").alias("role"),
-        )
-    )
+    before = lambda i: F.slice("words", F.lit(1), i - 1)
+    after = lambda i: F.slice("words", i + 1, F.size("words"))
+
+    def variant(role: str, *held: Column) -> Column:
+        return F.struct(F.xxhash64("key", *held).alias("variant"), F.lit(role).alias("role"))
+
+    same = F.transform(place, lambda i: variant("same", i, before(i), after(i)))
+    longer = F.transform(place, lambda i: variant("longer", F.lit(-1), before(i), after(i)))
+    whole = F.array(variant("whole", F.lit(-1), F.col("words")))
     made = F.when(F.col("lengths") > 1, F.concat(same, longer, whole)).otherwise(same)
     return (
         near.withColumn("words", words)
-        .select("h1", "first", F.explode(F.array_distinct(made)).alias("v"))
+        .select("h1", "first", F.explode(made).alias("v"))
         .select("h1", F.struct("first.doc_id", "first.line").alias("at"), "v.variant", "v.role")
     )
 
@@ -148,7 +161,7 @@ def _exact(hashed: DataFrame) -> DataFrame:
         .drop("times"),
         "repeated",
     )
-    return hashed.join(repeated, ["h1", "h2"]).where(F.struct("doc_id", "line") > F.col("first"))
+    return hashed.join(repeated.hint("merge"), ["h1", "h2"]).where(F.struct("doc_id", "line") > F.col("first"))
 
 
 def _near(docs: DataFrame) -> DataFrame:
@@ -158,7 +171,7 @@ def _near(docs: DataFrame) -> DataFrame:
     """
     halves = _half_rows(_lines(docs))
     shared = materialize(
-        halves.select("key", F.xxhash64("words").alias("h1"), "n")
+        halves.select("key", _hashes()[0], "n")
         .groupBy("key")
         .agg(
             F.min("h1").alias("low"),
@@ -171,7 +184,7 @@ def _near(docs: DataFrame) -> DataFrame:
     )
     offered = halves.select("key", *_hashes(), "doc_id", "line", _rest().alias("rest"))
     near = materialize(
-        offered.join(shared, "key")
+        offered.join(shared.hint("merge"), "key")
         .groupBy("key", "lengths", "h1", "h2")
         .agg(F.min(F.struct("doc_id", "line", "rest")).alias("first")),
         "near",
@@ -198,7 +211,7 @@ def _near(docs: DataFrame) -> DataFrame:
         .otherwise(F.col("same"))
     )
     found = (
-        variants.join(earliest, "variant")
+        variants.join(earliest.hint("merge"), "variant")
         .select("at", other.alias("other"))
         .where(F.col("other") < F.col("at"))
         .distinct()
@@ -237,7 +250,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     a line that they repeat at the same place is one line.  An empty table has no
     lines; other columns are ignored.
 
-    No pairs are formed within a group of equal keys: each group is reduced to its
+    The joins on keys that all lines offer are sort-merge joins at every size, so that
+    the shuffle grows with the table.  No pairs are formed within a group of equal keys: each group is reduced to its
     earliest line, with partial aggregation first.
     """
     return _found(docs).select(
@@ -273,7 +287,7 @@ def deduplicate_lines(docs: DataFrame) -> DataFrame:
     kept = F.filter(
         F.split(F.col("text"), "\n", -1),
         lambda t, i: ~F.array_contains(
-            F.col("__drops"), F.struct(i.alias("i"), F.xxhash64(words_of(t)).alias("h1"))
+            F.col("__drops"), F.struct(i.alias("i"), F.xxhash64(normal(t)).alias("h1"))
         ),
     )
     has = F.col("__drops").isNotNull()
