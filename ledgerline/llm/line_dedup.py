@@ -182,11 +182,20 @@ def _near(docs: DataFrame) -> DataFrame:
         .select("key", "lengths"),
         "halves",
     )
-    offered = halves.select("key", *_hashes(), "doc_id", "line", _rest().alias("rest"))
+    offered = halves.select(
+        "key", "half", *_hashes(), "doc_id", "line", _rest().alias("rest")
+    )
+    # Grouped by the line, not by the key of the join: so a half that very many lines
+    # share can be split in the join, and equal lines meet after partial aggregation.
     near = materialize(
         offered.join(shared.hint("merge"), "key")
-        .groupBy("key", "lengths", "h1", "h2")
-        .agg(F.min(F.struct("doc_id", "line", "rest")).alias("first")),
+        .groupBy("h1", "h2", "half")
+        .agg(
+            F.first("key").alias("key"),
+            F.first("lengths").alias("lengths"),
+            F.min(F.struct("doc_id", "line", "rest")).alias("first"),
+        )
+        .drop("half"),
         "near",
     )
     variants = materialize(_variants(near), "variants")
