@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import materialize
 
-MIN_WORDS = 3  # shorter lines are never judged
+MIN_WORDS = 1  # every line that is not blank is judged
 NEAR_WORDS = 8  # lines of so many words may differ by one
 SPACE = r"[\x20\x09-\x0D]+"
 STEP = 8  # halves are rounded down to half this many words
@@ -250,9 +250,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     before it (``edits`` 0; the first of them is named), or if it is the first of its
     kind and a line within one inserted, deleted or replaced word has occurred before
     it (``edits`` 1; the earliest of those is named, whether that one is kept or not).
-    Words are runs without ASCII white space and compared as they are.  Lines of fewer
-    than ``MIN_WORDS`` words are never dropped, and lines of fewer than ``NEAR_WORDS``
-    only for equal ones.
+    Words are runs without ASCII white space and compared as they are, so a line of a
+    script without spaces is one word.  Blank lines are never dropped, and lines of
+    fewer than ``NEAR_WORDS`` words only for equal ones.
 
     Null and empty texts have no lines to drop.  Rows without a doc_id have no place
     in the order and are not looked at.  Rows that share a doc_id are one document:

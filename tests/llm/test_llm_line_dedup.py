@@ -93,6 +93,15 @@ def test_counters_in_templates(docs):
     assert out == [(i, 0, 0, 0, 1) for i in range(1, 50)]
 
 
+def test_equal_lines_of_one_or_two_words(docs):
+    """Scripts without spaces and long tokens make lines of one word."""
+    for line in ("Les.", "two words", "这一行没有空格但是很长" * 9, "https://a.example/" + "x" * 500):
+        rows = [(1, f"{line}\n\nother", ""), (2, f"\n {line}\t", ""), (3, line, "")]
+        assert sorted(rows_of(repeated_lines(docs(rows)))) == [(2, 1, 1, 0, 0), (3, 0, 1, 0, 0)]
+        out = deduplicate_lines(docs(rows)).collect()
+        assert [(r["doc_id"], r["text"]) for r in out] == [(1, rows[0][1])]
+
+
 def test_documents_lose_those_lines(docs):
     rows = corpus(3)
     gone = {(i, n) for i, n, *_ in brute(rows)}
