@@ -6,7 +6,8 @@ line with one word left out is a hashed key, and two lines within the bound shar
 key.  Variants of all lines would be many times the text, so lines that cannot have
 a partner are put aside first: with one edit, either the first or the last half of
 the words is untouched, and only lines that share such a half with another one are
-expanded, over the words of the other half.
+expanded, over the words of the other half.  Halves of short lines are too common to
+tell much, and their variants are few, so short lines are expanded directly.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerline.session import materialize
 
 MIN_WORDS = 1  # every line that is not blank is judged
-NEAR_WORDS = 8  # lines of so many words may differ by one
+NEAR_WORDS = 3  # lines of so many words may differ by one
 SPACE = r"[\x20\x09-\x0D]+"
 STEP = 8  # halves are rounded down to half this many words
 
@@ -71,12 +72,12 @@ def _halves() -> Column:
     """The halves that a line offers: how many words, and from which end.
 
     Lines of n and n + 1 words must offer the same number, so where it steps up the
-    smaller one is offered too.
+    smaller one is offered too.  Up to ``STEP`` words that is a half of no words.
     """
     here = (F.floor(F.col("n") / STEP) * (STEP // 2)).cast("int")
     below = (F.floor((F.col("n") - 1) / STEP) * (STEP // 2)).cast("int")
-    sizes = F.filter(F.array_distinct(F.array(here, below)), lambda h: h > 0)
-    return F.flatten(
+    sizes = F.array_distinct(F.array(here, below))
+    halves = F.flatten(
         F.transform(
             sizes,
             lambda h: F.array(
@@ -85,12 +86,17 @@ def _halves() -> Column:
             ),
         )
     )
+    return F.filter(halves, lambda half: (half.h > 0) | half.front)
 
 
 def _half_rows(lines: DataFrame) -> DataFrame:
-    """A row for each half offered, ``key`` being the hash of that half."""
+    """A row for each half offered, ``key`` being the hash of that half.
+
+    For a half of no words, which all short lines share, it is that of the line, so
+    that they do not meet in one task.
+    """
     h, front = F.col("half.h"), F.col("half.front")
-    half = _first(F.col("words"), F.when(front, h).otherwise(-h))
+    half = _first(F.col("words"), F.when(h == 0, F.col("n")).when(front, h).otherwise(-h))
     return (
         lines.where(F.col("n") >= NEAR_WORDS)
         .withColumn("half", F.explode(_halves()))
@@ -185,14 +191,17 @@ def _near(docs: DataFrame) -> DataFrame:
     offered = halves.select(
         "key", "half", *_hashes(), "doc_id", "line", _rest().alias("rest")
     )
+    short = F.col("half.h") == 0
     # Grouped by the line, not by the key of the join: so a half that very many lines
     # share can be split in the join, and equal lines meet after partial aggregation.
     near = materialize(
-        offered.join(shared.hint("merge"), "key")
+        offered.join(shared.hint("merge"), "key", "left")
+        .where(short | F.col("lengths").isNotNull())
+        .withColumn("key", F.when(short, 0).otherwise(F.col("key")))
         .groupBy("h1", "h2", "half")
         .agg(
             F.first("key").alias("key"),
-            F.first("lengths").alias("lengths"),
+            F.coalesce(F.first("lengths"), F.lit(2)).alias("lengths"),
             F.min(F.struct("doc_id", "line", "rest")).alias("first"),
         )
         .drop("half"),

@@ -102,6 +102,20 @@ def test_equal_lines_of_one_or_two_words(docs):
         assert [(r["doc_id"], r["text"]) for r in out] == [(1, rows[0][1])]
 
 
+def test_short_lines_within_one_word(docs):
+    """Inserted, deleted and replaced words at both ends, from 3 words to the halves' 8."""
+    rng = random.Random(5)
+    pool = [" ".join(rng.choices("a b c d e f".split(), k=n)) for n in (2, 3, 4) for _ in range(12)]
+    for n in (7, 8, 9):
+        ws = [f"w{n}{i}" for i in range(n)]
+        pool += [" ".join(x) for x in (ws, ws[1:], ws[:-1], ["x", *ws], [*ws, "x"], ["y", *ws[1:]])]
+    rows = [(i, t, "") for i, t in enumerate(pool)]
+    out = sorted(rows_of(repeated_lines(docs(rows))))
+    assert out == brute(rows)
+    three = [(1, "alpha beta gamma", ""), (2, "alpha beta delta", ""), (3, "alpha beta", ""), (4, "alpha", "")]
+    assert rows_of(repeated_lines(docs(three))) == [(2, 0, 1, 0, 1)]
+
+
 def test_documents_lose_those_lines(docs):
     rows = corpus(3)
     gone = {(i, n) for i, n, *_ in brute(rows)}
