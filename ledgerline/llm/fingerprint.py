@@ -6,9 +6,10 @@ paragraphs does not matter, a paragraph is inserted or deleted by adding or
 subtracting its vector, and fingerprints of parts add up to that of the whole.
 
 The vector has two parts.  Sixteen lanes modulo 2^64 come from the hash of the
-whole paragraph; they tell equality.  256 lanes modulo 2^16 hold a count sketch:
+whole paragraph; they tell equality.  256 lanes modulo 2^32 hold a count sketch:
 each run of three words of the paragraph adds 1 or -1 to one lane.  The scalar
-product of two sketches estimates how many such runs two documents share.
+product of two sketches estimates how many such runs two documents share.  It holds as
+long as no lane counts 2^31 runs, which a text of 2 GB, Spark's longest, cannot have.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ class Fingerprint:
         return Fingerprint(self.exact - other.exact, self.sketch - other.sketch)
 
     def __str__(self) -> str:
-        held = self.exact.astype("<u8").tobytes() + self.sketch.astype("<u2").tobytes()
+        held = self.exact.astype("<u8").tobytes() + self.sketch.astype("<u4").tobytes()
         return base64.b64encode(held).decode()
 
     @classmethod
@@ -53,14 +54,14 @@ class Fingerprint:
         cut = 8 * EXACT_LANES
         return cls(
             np.frombuffer(held[:cut], "<u8").astype(np.uint64),
-            np.frombuffer(held[cut:], "<u2").astype(np.uint16),
+            np.frombuffer(held[cut:], "<u4").astype(np.uint32),
         )
 
     def likeness(self, other: Fingerprint) -> float:
         """1 for equal multisets of paragraphs; else the estimated share of common runs."""
         if (self.exact == other.exact).all():
             return 1.0
-        a, b = (x.sketch.view(np.int16).astype(np.float64) for x in (self, other))
+        a, b = (x.sketch.view(np.int32).astype(np.float64) for x in (self, other))
         both = float(a @ a + b @ b)
         return min(1.0, max(0.0, 2 * float(a @ b) / both)) if both else 0.0
 
@@ -90,7 +91,7 @@ def of_text(text: str) -> Fingerprint:
     lane = (runs >> np.uint64(40)) % np.uint64(SKETCH_LANES)
     sign = 1.0 - 2.0 * (runs >> np.uint64(63)).astype(np.float64)
     sketch = np.bincount(lane.astype(np.int64), sign, SKETCH_LANES).astype(np.int64)
-    return Fingerprint(exact, sketch.astype(np.uint16))
+    return Fingerprint(exact, sketch.astype(np.uint32))
 
 
 def edited(text: str, other: str) -> str:

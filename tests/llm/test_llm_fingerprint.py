@@ -65,3 +65,14 @@ def test_likeness_follows_the_share_of_common_runs():
         cut = int(900 * share)
         got = of_text(" ".join(a)).likeness(of_text(" ".join(a[:cut] + b[cut:])))
         assert abs(got - share) < 0.2
+
+
+def test_one_run_very_often(docs):
+    """Counts of a lane beyond 16 bits: two thirds of the text stay."""
+    text = "spam " * 100_000
+    after = " ".join(f"w{i}" for i in range(60_000))
+    whole, changed = of_text(text), of_text(edited(text, after))
+    assert 0.9 < whole.likeness(changed) < 0.95
+    assert Fingerprint.parse(str(whole)).likeness(Fingerprint.parse(str(changed))) == whole.likeness(changed)
+    got = {r["doc_id"]: r["near_edited"] for r in fingerprints(docs([(2, text, ""), (1, after, "")])).collect()}
+    assert got[2] == whole.likeness(changed)
