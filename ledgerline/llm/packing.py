@@ -30,11 +30,11 @@ def _printable_bytes() -> dict[str, int]:
 
 
 @lru_cache(maxsize=4)
-def _encoder(path: str) -> Callable[[str], np.ndarray]:
-    """Text to ids under a byte-level BPE file of the ``tokenizers`` library.
+def byte_level_encoding(path: str):
+    """A byte-level BPE file of the ``tokenizers`` library as an encoding of ``tiktoken``.
 
-    The file's vocabulary is run by ``tiktoken``, which gives the same ids four
-    times as fast where every merge's id follows its rank; other files are refused.
+    It gives the same ids four times as fast where every merge's id follows its rank;
+    other files are refused.
     """
     import public_tokenizers
     import tiktoken
@@ -52,11 +52,17 @@ def _encoder(path: str) -> Callable[[str], np.ndarray]:
     ids = [spec["model"]["vocab"][m] for m in merged]
     if ids != sorted(ids) or spec.get("normalizer"):
         raise ValueError(f"{path}: ids do not follow the ranks of the merges")
-    encoding = tiktoken.Encoding(
+    return tiktoken.Encoding(
         "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
     )
+
+
+def _encoder(path: str) -> Callable[[str], np.ndarray]:
+    """Text to ids; names of special tokens in a text are these tokens."""
+    encoding = byte_level_encoding(path)
+    special = encoding.special_tokens_set
     return lambda text: np.asarray(
-        encoding.encode_to_numpy(text, allowed_special=set(special), disallowed_special=()),
+        encoding.encode_to_numpy(text, allowed_special=special, disallowed_special=()),
         dtype="<u4",
     )
 

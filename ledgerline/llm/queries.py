@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import line_dedup, mixing, url_filter
+from ledgerline.llm.alignment import alignment_summary
 from ledgerline.llm.fingerprint import fingerprints
 from ledgerline.llm.line_dedup import repeated_lines
 from ledgerline.llm.mixing import mix_sources
@@ -21,6 +22,7 @@ from ledgerline.llm.url_filter import url_verdicts
 from ledgerline.llm.zip_warc import archive_round_trip
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +65,10 @@ def op10_branch_and_bound_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op13_shared_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_summary(table(spark, sf_dir, "documents"), TOKENIZER, PIECE_MODEL)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_zip_warc,
         op9_pii_spans,
         op10_branch_and_bound_top_k,
+        op13_shared_cut_alignment,
     )
 }
 
