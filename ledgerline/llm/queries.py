@@ -16,6 +16,7 @@ from ledgerline.llm.near_dedup import near_duplicates
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.pii import pii_summary
 from ledgerline.llm.quality import quality_scores
+from ledgerline.llm.spelling import spelling_variants
 from ledgerline.llm.tables import table
 from ledgerline.llm.topk import exact_top_k
 from ledgerline.llm.url_filter import url_verdicts
@@ -65,6 +66,10 @@ def op10_branch_and_bound_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op12_variable_gram_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), drop_every=97)
+
+
 def op13_shared_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_summary(table(spark, sf_dir, "documents"), TOKENIZER, PIECE_MODEL)
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_zip_warc,
         op9_pii_spans,
         op10_branch_and_bound_top_k,
+        op12_variable_gram_spelling,
         op13_shared_cut_alignment,
     )
 }
