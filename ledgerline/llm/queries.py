@@ -17,6 +17,7 @@ from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.pii import pii_summary
 from ledgerline.llm.quality import quality_scores
 from ledgerline.llm.spelling import spelling_variants
+from ledgerline.llm.substring import repeated_passages
 from ledgerline.llm.tables import table
 from ledgerline.llm.topk import exact_top_k
 from ledgerline.llm.url_filter import url_verdicts
@@ -66,6 +67,11 @@ def op10_branch_and_bound_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_relative_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op12_variable_gram_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"), drop_every=97)
 
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_zip_warc,
         op9_pii_spans,
         op10_branch_and_bound_top_k,
+        op11_relative_lempel_ziv,
         op12_variable_gram_spelling,
         op13_shared_cut_alignment,
     )
