@@ -21,6 +21,7 @@ import zipfile
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 from pyarrow import fs
@@ -141,7 +142,7 @@ def members(file: pa.NativeFile) -> list[Member]:
     length = file.size()
     tail_at = max(0, length - 22 - BIG16)  # the end record with the longest comment
     tail = _read(file, tail_at, length - tail_at)
-    at = tail.rfind(END)
+    at = tail.rfind(END, 0, max(0, len(tail) - 18))  # whole records only
     # A comment may hold the signature; the true record's comment ends the file.
     while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
         at = tail.rfind(END, 0, at)
@@ -231,17 +232,13 @@ def _writer(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = _rows(batches, ("page_id", "url", "html", "refers_to"))
         for first in rows:
-            for path, n in archive(_chain(first, rows)):
+            # ``chain`` leaves ``rows`` open when an archive is full and drops it.
+            for path, n in archive(chain((first,), rows)):
                 yield pa.RecordBatch.from_pydict({"path": [path], "records": [n]})
 
     return run
 
 
-def _chain(first: tuple, rest: Iterator[tuple]) -> Iterator[tuple]:
-    yield first
-    yield from rest
-
-
 def _rows(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
@@ -284,7 +281,11 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         whole["page_id"].eqNullSafe(revisits["id"]) & (whole["sha1"] == revisits["digest"]),
         "left",
     ).select("page_id", "url", "html", "refers_to")
-    return materialize(held.mapInArrow(_writer(folder), "path string, records long"), "archives")
+    archives = materialize(held.mapInArrow(_writer(folder), "path string, records long"), "archives")
+    written, given = archives.agg(F.sum("records")).first()[0] or 0, rows.count()
+    if written != given:
+        raise RuntimeError(f"{written} records were written for {given} pages")
+    return archives
 
 
 def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,10 +338,11 @@ def _reader(keep_payload: bool) -> Callable:
             system, path = _opened(uri)
             out = []
             with system.open_input_file(path) as file:
-                for length in lengths:
-                    row = parsed(zlib.decompress(_read(file, start, length), 31))
-                    out.append(row if keep_payload else row | {"payload": None})
-                    start += length
+                held = memoryview(_read(file, start, sum(lengths)))
+            for length in lengths:
+                row = parsed(zlib.decompress(held[:length], 31))
+                out.append(row if keep_payload else row | {"payload": None})
+                held = held[length:]
             yield pa.RecordBatch.from_pylist(out, schema=_RECORD)
 
     return run
@@ -371,8 +373,8 @@ def archive_round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame
     from the archives.  A null html is an empty payload.  Rows that repeat a page_id
     with the same payload have the same type.  A null page_id is less than any
     other; among equal payloads without any page_id each is a response.  A null url
-    writes no target URI.  Other columns are ignored.  An empty table writes no
-    archive and gives no rows.  ``folder`` must be shared by all executors; by
+    writes no target URI.  A very long html is one record, which a task holds whole.
+    Other columns are ignored.  An empty table writes no archive and gives no rows.  ``folder`` must be shared by all executors; by
     default it is a new one in the scratch folder.
     """
     spark = pages.sparkSession

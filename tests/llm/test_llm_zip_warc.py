@@ -20,6 +20,7 @@ from ledgerline.llm.zip_warc import (
     record,
     write_archives,
 )
+from ledgerline.session import materialize
 
 SCHEMA = "page_id long, url string, html string, refers_to string, path string"
 
@@ -73,9 +74,27 @@ def test_small_archives_and_ranges(session, tmp_path, monkeypatch):
             assert bytes(r["payload"]) == texts[r["page_id"], r["url"]]
 
 
+def test_several_archives_of_one_task(session, tmp_path, monkeypatch):
+    monkeypatch.setattr(zip_warc, "ARCHIVE_BYTES", 3000)
+    rows = some_rows(3)
+    one = pages(session, rows).coalesce(1)
+    monkeypatch.setattr(zip_warc, "materialize", lambda df, name: materialize(df.coalesce(1) if name == "archives" else df, name))
+    archives = write_archives(one, f"{tmp_path}/warc")
+    assert archives.rdd.getNumPartitions() == 1 and archives.count() >= 3
+    found = read_archives(session, archives, keep_payload=False).drop("url", "payload")
+    assert sorted(rows_of(found), key=repr) == brute(rows)
+
+
+def test_lost_rows_are_told(session, tmp_path, monkeypatch):
+    monkeypatch.setattr(zip_warc, "chain", lambda first, rest: iter(first))
+    monkeypatch.setattr(zip_warc, "_rows", lambda *a: iter([(1, "u", "x", None)]))
+    with pytest.raises(RuntimeError, match="were written for 5 pages"):
+        write_archives(pages(session, some_rows(4)[:5]), f"{tmp_path}/warc")
+
+
 def test_members_of_any_zip():
     """Comments, many members, data descriptors and names in UTF-8, as zipfile writes them."""
-    for comment in (b"", b"PK\x05\x06 is no end record here", b"c" * 65535):
+    for comment in (b"", b"PK\x05\x06 is no end record here", b"c" * 65535, b"ends in PK\x05\x06"):
         held = io.BytesIO()
         with zipfile.ZipFile(held, "w") as package:
             for i in range(70):
@@ -112,7 +131,10 @@ def test_wide_fields_of_a_member():
     assert (member.size, member.compressed, member.header) == (big, big + 1, big + 2)
 
 
-@pytest.mark.parametrize("raw", [b"", b"no zip at all", b"PK\x05\x06" + b"\0" * 10])
+@pytest.mark.parametrize(
+    "raw",
+    [b"", b"no zip at all", b"PK\x05\x06" + b"\0" * 10, b"x" * 50 + b"PK\x05\x06" + b"\0" * 17],
+)
 def test_broken_archives_are_refused(raw):
     with pytest.raises(ValueError, match="directory|early"):
         members(pa.BufferReader(raw))
