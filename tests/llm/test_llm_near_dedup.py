@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
@@ -19,24 +20,49 @@ def shingles(text, size):
     return frozenset(tuple(words[i : i + size]) for i in range(last))
 
 
-def brute(rows, size, num, den):
-    """doc_id: (set size, smallest reachable doc_id), every pair compared."""
-    sets = {i: shingles(t, size) for i, t, _ in rows if i is not None}
-    parent = {i: i for i in sets}
+def grouped(rows, size, num, den):
+    """The group of each row, by comparing every pair of texts."""
+    sets = [shingles(t, size) for _, t, _ in rows]
+    parent = list(range(len(rows)))
 
     def root(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    ids = sorted(i for i in sets if sets[i])
-    for n, a in enumerate(ids):
-        for b in ids[n + 1 :]:
+    for a in range(len(rows)):
+        for b in range(a):
             common = len(sets[a] & sets[b])
             if common and den * common >= num * (len(sets[a]) + len(sets[b]) - common):
-                x, y = sorted((root(a), root(b)))
-                parent[y] = x
-    return {i: (len(s), root(i)) for i, s in sets.items()}
+                parent[root(a)] = root(b)
+    return sets, [root(i) for i in range(len(rows))]
+
+
+def all_rows(rows, size, num, den):
+    """What near_duplicates returns, sorted."""
+    sets, group = grouped(rows, size, num, den)
+    out = []
+    for i, (doc_id, _, _) in enumerate(rows):
+        names = [rows[j][0] for j in range(len(rows)) if group[j] == group[i] and rows[j][0] is not None]
+        name = min(names) if sets[i] and names else doc_id
+        out.append((doc_id, len(sets[i]), name, name is None or name == doc_id))
+    return sorted(out, key=repr)
+
+
+def brute(rows, size, num, den):
+    """doc_id: (set size, smallest reachable doc_id), for distinct ids."""
+    return {i: (n, c) for i, n, c, _ in all_rows(rows, size, num, den)}
+
+
+def one_of_each(rows, size, num, den):
+    """What keep_one returns: its doc_ids and texts, sorted."""
+    sets, group = grouped(rows, size, num, den)
+    out = [(i, t) for (i, t, _), s in zip(rows, sets) if not s]
+    for g in {group[i] for i in range(len(rows)) if sets[i]}:
+        members = [rows[i] for i in range(len(rows)) if group[i] == g]
+        order = lambda r: (r[0] is None, r[0] or 0, hashlib.sha256(r[1].encode()).digest())
+        out.append(min(members, key=order)[:2])
+    return sorted(out, key=repr)
 
 
 def near_copies(seed, groups=8, copies=12):
@@ -83,13 +109,70 @@ def test_awkward_rows(docs):
     assert out.count((5, 6, 5, True)) == 2 and (6, 6, 5, False) in out
     assert {(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True)} <= set(out)
     assert (None, 0, None, True) in out and (None, 1, None, True) in out
+    assert out == all_rows(AWKWARD, 3, 85, 100)
     kept = keep_one(docs(AWKWARD), words=3)
     assert kept.columns == docs(AWKWARD).columns
-    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 5]
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5]
 
 
 def test_empty_table(docs):
     assert near_duplicates(docs([]), words=3).count() == 0
+    assert keep_one(docs([]), words=3).count() == 0
+
+
+def shared_ids(seed=4):
+    """Near copies whose doc_ids are shared, null or repeated, and rows without words."""
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, rng.randrange(9), i]), t, s) for i, t, s in near_copies(seed, 6, 9)]
+    rows += rng.choices(rows, k=12) + [(None, "", "s"), (None, "", "s"), (3, None, "s"), (3, " ", "s")]
+    rows += [(7, "text one of an id", "s"), (7, "another text of it", "s"), (1, "text one of an id", "s")]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_texts_are_grouped_not_ids(docs):
+    rows = shared_ids()
+    found = near_duplicates(docs(rows), words=3, threshold=(85, 100))
+    assert sorted(rows_of(found), key=repr) == all_rows(rows, 3, 85, 100)
+
+
+def test_one_row_of_each_group_stays(docs):
+    rows = shared_ids()
+    expected = one_of_each(rows, 3, 85, 100)
+    for order in (rows, rows[::-1]):
+        kept = keep_one(docs(order), words=3, threshold=(85, 100))
+        assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == expected
+
+
+def test_a_unique_text_of_a_shared_id_stays(docs):
+    rows = [(7, "text a of some words", "s"), (7, "quite another text b", "s"), (1, "text a of some words", "s")]
+    kept = keep_one(docs(rows), words=5, threshold=(80, 100)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, rows[0][1]), (7, rows[1][1])]
+
+
+def test_rows_that_differ_elsewhere_keep_their_columns(session):
+    names = ["doc_id", "text", "key", "node", "row", "hash", "stays", "n", "__gone"]
+    rows = [(1, "the same words here", *"abcdefg"), (1, "the same words here", *"hijklmn"), (2, "alone it is", *"opqrstu")]
+    frame = session.createDataFrame(rows, names)
+    first = keep_one(frame, words=3)
+    assert first.columns == names
+    got = sorted(rows_of(first))
+    assert len(got) == 2 and set(got) <= set(rows) and (2, "alone it is", *"opqrstu") in got
+    assert sorted(rows_of(keep_one(session.createDataFrame(rows[::-1], names), words=3))) == got
+
+
+def test_texts_longer_than_a_part(docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PART_SHINGLES", 50)
+    monkeypatch.setattr(near_dedup, "PART_SHINGLES_AGAIN", 50)
+    monkeypatch.setattr(near_dedup, "PLACED_BYTES", 100)
+    placed = []
+    links = near_dedup._links
+    monkeypatch.setattr(near_dedup, "_links", lambda t, p, *a: placed.append(p.count()) or links(t, p, *a))
+    long = [f"w{i}" for i in range(2000)]
+    rows = [(1000 + i, " ".join(long[i:]), "s") for i in range(6)] + near_copies(11, 2, 6)
+    found = near_duplicates(docs(rows), words=3, threshold=(85, 100))
+    assert got(found) == brute(rows, 3, 85, 100)
+    assert placed[0] <= 3 * len(rows)  # the long hub is not dealt to every 50 shingles
 
 
 def test_short_texts_are_one_shingle(docs):
