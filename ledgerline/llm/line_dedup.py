@@ -18,6 +18,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.tables import unused
 from ledgerline.session import materialize
 
 MIN_WORDS = 1  # every line that is not blank is judged
@@ -292,23 +293,27 @@ def deduplicate_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines that ``repeated_lines`` names; ``n_chars`` follows, if there.
 
     Documents of which nothing but white space is left go, unless they came so.
-    Every other row stays, with all its columns.
+    Every other row stays, with all its columns, whatever their names.  Null and empty
+    texts and rows without a doc_id stay as they are.  Of rows that share a doc_id each
+    loses its own lines; equal rows are one document and stay alike.  An empty table stays
+    empty.
     """
+    own, other, gone = unused(docs, "own", "other", "gone")
     drops = (
         _found(docs)
         .groupBy("doc_id")
-        .agg(F.collect_set(F.struct(F.col("line").alias("i"), F.col("h1"))).alias("__drops"))
-        .withColumnRenamed("doc_id", "__id")
+        .agg(F.collect_set(F.struct(F.col("line").alias("i"), F.col("h1"))).alias(gone))
+        .withColumnRenamed("doc_id", other)
     )
-    named = docs.withColumn("__own", F.col("doc_id").cast("long"))
-    joined = named.join(drops, F.col("__own") == F.col("__id"), "left")
+    named = docs.withColumn(own, F.col("doc_id").cast("long"))
+    joined = named.join(drops, F.col(own) == F.col(other), "left")
     kept = F.filter(
         F.split(F.col("text"), "\n", -1),
         lambda t, i: ~F.array_contains(
-            F.col("__drops"), F.struct(i.alias("i"), F.xxhash64(normal(t)).alias("h1"))
+            F.col(gone), F.struct(i.alias("i"), F.xxhash64(normal(t)).alias("h1"))
         ),
     )
-    has = F.col("__drops").isNotNull()
+    has = F.col(gone).isNotNull()
     text = F.when(has, F.array_join(kept, "\n")).otherwise(F.col("text"))
     left = joined.withColumn("text", text).where(~has | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:

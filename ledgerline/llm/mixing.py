@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerline.llm.tables import unused
 from ledgerline.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -36,14 +37,20 @@ class Mix:
         ).drop("one")
 
     def documents(self, docs: DataFrame) -> DataFrame:
-        """The mixed documents, each as often as it is taken."""
-        kept = self.units.where("copies > 0").select("key", "copies")
-        each = F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))
-        keyed = docs.withColumn("__key", row_key(docs))
-        taken = kept.select(F.col("key").alias("__key"), F.col("copies").alias("__copies"))
+        """The mixed documents, each as often as it is taken, with all their columns.
+
+        ``docs`` are the rows that were mixed.  Equal rows are taken equally often, rows
+        with null values like others; an empty mix has no documents.
+        """
+        key, copies, one = unused(docs, "key", "copies", "one")
+        taken = self.units.where("copies > 0").select(
+            F.col("key").alias(key), F.col("copies").alias(copies)
+        )
+        each = F.explode(F.array_repeat(F.lit(0), F.col(copies).cast("int")))
         return (
-            keyed.join(taken, "__key")
-            .withColumn("__one", each)
+            docs.withColumn(key, row_key(docs))
+            .join(taken, key)
+            .withColumn(one, each)
             .select(*[F.col(f"`{c}`") for c in docs.columns])
         )
 

@@ -14,7 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHARD_DOCUMENTS = 1 << 15  # documents whose pieces one task packs
+from ledgerline.session import materialize
+
+SHARD_PIECES = 1 << 15  # pieces that one task packs, about
+HOT_ROWS = 1 << 10  # equal pieces beyond are spread over the shards
 ROWS = 256
 
 
@@ -194,18 +197,27 @@ def _packed(capacity: int, columns: list[str]) -> Callable[[pd.DataFrame], pd.Da
     return run
 
 
-def pack(pieces: DataFrame, n_documents: int, *, capacity: int = 1024) -> DataFrame:
+def pack(pieces: DataFrame, *, capacity: int = 1024) -> DataFrame:
     """``pieces`` with the sequence each one goes to and its place there.
 
-    Pieces are dealt by hash to shards of some ``SHARD_DOCUMENTS`` documents, and
-    each shard is packed by itself: the number of tasks grows with the table, and
-    the room that shards lose against one packing of all is a few sequences each.
+    Pieces are dealt by hash to shards of some ``SHARD_PIECES``, and each shard is packed
+    by itself: the number of tasks grows with the pieces, and the room that shards lose
+    against one packing of all is a few sequences each.  Equal rows share a hash; where
+    there are very many of them, they are dealt by their place in the table instead.
     """
-    shards = max(1, math.ceil(n_documents / SHARD_DOCUMENTS))
+    held = materialize(pieces.withColumn("salt", F.monotonically_increasing_id()), "cut")
+    shards = max(1, math.ceil(held.count() / SHARD_PIECES))
+    same = ["doc_id", "piece", "ids_crc32"]
+    sizes = held.groupBy(*same).agg(F.count("*").alias("rows")).where(F.col("rows") > HOT_ROWS)
+    hot = materialize(sizes.select(F.xxhash64(*same).alias("hash")).distinct(), "hot")
+    hashed = held.withColumn("hash", F.xxhash64(*same))
+    rows = hashed.join(hot.withColumn("is_hot", F.lit(True)), "hash", "left")
+    key = F.when(F.col("is_hot"), F.xxhash64("hash", "salt")).otherwise(F.col("hash"))
     fields = [*pieces.columns, "sequence_id", "offset"]
     schema = ", ".join(f"{n} {t}" for n, t in pieces.dtypes) + ", sequence_id long, offset long"
     return (
-        pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+        rows.withColumn("shard", F.pmod(key, F.lit(shards)))
+        .drop("hash", "is_hot")
         .groupBy("shard")
         .applyInPandas(_packed(capacity, fields), schema)
     )
@@ -224,9 +236,10 @@ def pack_documents(
     One row per piece: ``doc_id``, ``piece`` (from 0), ``start`` (the document's
     tokens before it), ``length``, ``ids_crc32`` (of its ids as little-endian
     32-bit words), ``sequence_id``, ``offset`` (its place, gapless from 0), and its
-    ``ids`` on request.  A null or empty text is the end token alone.  A repeated
-    row is packed each time it occurs, and a null doc_id is carried along.  Other
-    columns are ignored.  An empty table has no pieces.
+    ``ids`` on request.  A null or empty text is the end token alone.  A very long text
+    is many pieces, which go to shards of their own.  A repeated row is packed each time
+    it occurs, and a null doc_id is carried along.  Other columns are ignored.  An empty
+    table has no pieces.
     """
     cut = pieces(docs, tokenizer, end=end, capacity=capacity, keep_ids=keep_ids)
-    return pack(cut, docs.count(), capacity=capacity)
+    return pack(cut, capacity=capacity)

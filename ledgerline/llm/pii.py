@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.tables import unused
+
 BEFORE = 40  # code points before a span that are searched for context words
 
 
@@ -194,15 +196,21 @@ def confirmed(spans: Column, kind: Kind) -> Column:
     return F.transform(F.filter(spans, lambda s: kind.confirm(s["hit"])), scored)
 
 
-def with_spans(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
-    """``docs`` with ``pii``: array of struct ``kind``, ``start``, ``end``, ``score``.
+def with_spans(
+    docs: DataFrame, kinds: tuple[Kind, ...] = KINDS, *, name: str = "pii"
+) -> DataFrame:
+    """``docs`` with a column ``name``: array of struct ``kind``, ``start``, ``end``, ``score``.
 
-    By kind as listed, then by place.  The text is searched once a kind.
+    By kind as listed, then by place.  The text is searched once a kind.  A null text
+    is an empty one.  A table that has the column already is refused.
     """
+    if unused(docs, name) != [name]:
+        raise ValueError(f"there is a column {name!r} already")
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    raw = docs.withColumns({f"__{k.name}": proposed(text, k) for k in kinds})
-    found = F.concat(*(confirmed(F.col(f"__{k.name}"), k) for k in kinds))
-    return raw.withColumn("pii", found).drop(*(f"__{k.name}" for k in kinds))
+    held = unused(docs, *(k.name for k in kinds))
+    raw = docs.withColumns({h: proposed(text, k) for h, k in zip(held, kinds, strict=True)})
+    found = F.concat(*(confirmed(F.col(h), k) for h, k in zip(held, kinds, strict=True)))
+    return raw.withColumn(name, found).drop(*held)
 
 
 def _joined(spans: Column) -> Column:

@@ -24,3 +24,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -30,7 +30,9 @@ def docs(session):
 
     def make(rows):
         schema = "doc_id long, text string, source string, size long, hub long, key string, line int"
-        full = [(i, t, s, 7, 8, "k", 9) for i, t, s in rows]
+        others = ["copies", "one", "own", "other", "gone", "email", "__key", "__copies", "node", "KEY_"]
+        schema += "".join(f", {name} string" for name in others)
+        full = [(i, t, s, 7, 8, "k", 9, *others) for i, t, s in rows]
         return session.createDataFrame(full, schema)
 
     return make

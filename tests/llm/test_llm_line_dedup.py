@@ -155,3 +155,13 @@ def test_edits(session):
     for r in frame.withColumn("e", edits(F.col("a"), F.col("b"))).collect():
         assert (r["e"] <= 1) == (distance(r["a"], r["b"]) <= 1)
         assert (r["e"] == 0) == (r["a"] == r["b"])
+
+
+def test_columns_of_any_name_stay(docs):
+    frame = docs([(1, "a line of words\nand one more here", "s"), (2, "a line of words\nother words here", "s")])
+    out = deduplicate_lines(frame)
+    assert out.columns == frame.columns
+    got = {r["doc_id"]: tuple(r) for r in out.collect()}
+    given = {r["doc_id"]: tuple(r) for r in frame.collect()}
+    assert got[1] == given[1]
+    assert got[2] == (2, "other words here", *given[2][2:])

@@ -90,3 +90,12 @@ def test_awkward_rows(docs):
     assert mix_sources(docs([])).documents(docs([])).count() == 0
     blank = mix_sources(docs([(1, None, "a"), (2, " ", None)])).figures()
     assert {r["taken"] for r in blank.collect()} == {0}
+
+
+def test_columns_of_any_name_stay(docs):
+    rows = corpus(6, 40)
+    frame = docs(rows)
+    given = {r["doc_id"]: tuple(r) for r in frame.collect()}
+    out = mix_sources(frame).documents(frame)
+    assert out.columns == frame.columns
+    assert all(tuple(r) == given[r["doc_id"]] for r in out.collect())

@@ -51,12 +51,56 @@ def test_places_every_token_once(session, documents):
 
 
 def test_shards_pack_by_themselves(docs, monkeypatch):
-    monkeypatch.setattr(packing, "SHARD_DOCUMENTS", 20)
+    monkeypatch.setattr(packing, "SHARD_PIECES", 20)
     rng = random.Random(1)
     rows = [(i, " ".join(rng.choices("one two three".split(), k=rng.randint(0, 900))), "") for i in range(90)]
     check(rows, pack_documents(docs(rows), PATH).collect())
 
 
+def test_long_documents_and_equal_rows_are_spread(docs, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_PIECES", 16)
+    monkeypatch.setattr(packing, "HOT_ROWS", 8)
+    rows = [(1, "word " * 9000, ""), (2, "other " * 7000, "")] + [(None, "the same", "")] * 60
+    out = pack_documents(docs(rows), PATH, capacity=256).collect()
+    check(rows, out, 256)
+    shards = {r["sequence_id"] >> 40 for r in out if r["doc_id"] is None}
+    assert len(shards) > 3
+    assert len({r["sequence_id"] >> 40 for r in out if r["doc_id"] == 1}) > 3
+
+
+def plain_rule(sizes, capacity):
+    """The open gaps after the rule, every choice tried out and the squares summed anew."""
+    gaps: list[int] = []
+    for size in sorted(sizes, reverse=True):
+        def cost(i):
+            left = gaps[:i] + gaps[i + 1 :] if i is not None else list(gaps)
+            gap = (gaps[i] if i is not None else capacity) - size
+            left += [gap]
+            squares = sum(left.count(g) ** 2 for g in set(left) if g)
+            return squares, gap
+        fits = [i for i, g in enumerate(gaps) if g >= size]
+        best = min([*fits, None], key=cost)
+        if best is None:
+            gaps.append(capacity - size)
+        else:
+            gaps[best] -= size
+        gaps = [g for g in gaps if g]
+    return sorted(gaps)
+
+
+def test_each_choice_makes_the_sum_of_squares_smallest(monkeypatch):
+    rng = random.Random(9)
+    monkeypatch.setattr(packing, "_tightest", lambda sizes, items, capacity: [[i] for i in items])
+    for _ in range(60):
+        sizes = [rng.randint(1, 24) for _ in range(rng.randint(1, 60))]
+        sequences = sum_of_squares(sizes, 24)
+        # Full sequences come first; the items of the others follow one by one.
+        full = [s for s in sequences if sum(sizes[i] for i in s) == 24]
+        loose = sum(sizes[i] for s in sequences for i in s) - 24 * len(full)
+        gaps = plain_rule(sizes, 24)
+        assert loose == 24 * len(gaps) - sum(gaps)
+
+
 def test_awkward_rows(docs):
     special = [(7, "a<|endoftext|>b 😀 \u00a0x", ""), (8, "x" * 5000, ""), (9, " " * 3000 + "y", "")]
     rows = [*AWKWARD, *special]

@@ -96,3 +96,15 @@ def test_checksums(session, column):
 
     frame = session.createDataFrame([(c,) for c in codes], "c string")
     assert [r[0] for r in frame.select(column(F.col("c"))).collect()] == [want(c) for c in codes]
+
+
+def test_columns_of_any_name_stay(session):
+    from ledgerline.llm.pii import with_spans
+
+    row = (1, "mail a.b@c.de now", "x", "y", "z")
+    frame = session.createDataFrame([row], "doc_id long, text string, email string, __email string, IP string")
+    (found,) = with_spans(frame).collect()
+    assert tuple(found)[:5] == row
+    assert [(s["kind"], s["start"], s["end"]) for s in found["pii"]] == [("email", 5, 13)]
+    with pytest.raises(ValueError, match="already"):
+        with_spans(frame, name="Email")
