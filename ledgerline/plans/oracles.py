@@ -388,11 +388,13 @@ _ALL_SUMMARY = _with(*_TO_MART) + "SELECT * FROM mart"
 _LOADS = f"""
 load_counts AS (
   SELECT 'load-1' AS run_id, NULL AS start, count(*) AS fetched,
-    count(*) FILTER (len(found) = 0) AS valid, count(*) FILTER (len(found) > 0) AS bad
+    count(*) FILTER (len(found) = 0) AS valid, count(*) FILTER (len(found) > 0) AS bad,
+    0 AS late
   FROM checked WHERE transaction_date < '2024-01-21'
   UNION ALL
   SELECT 'load-2', any_value({_START}), count(*), count(*) FILTER (len(found) = 0),
-    count(*) FILTER (len(found) > 0)
+    count(*) FILTER (len(found) > 0),
+    (SELECT count(*) FROM checked WHERE transaction_date < {_START})
   FROM checked WHERE transaction_date >= {_START}),
 dup_counts AS (
   SELECT 'load-1' AS run_id, count(*) FILTER (is_duplicate) AS dup,
@@ -405,7 +407,7 @@ dup_counts AS (
   FROM flagged),
 loads AS (
   SELECT run_id, 'incremental' AS run_mode, 'landing.transactions' AS source_name,
-    CAST(start AS VARCHAR) AS start, fetched, valid, bad, dup, batch_dup, fresh,
+    CAST(start AS VARCHAR) AS start, fetched, valid, bad, late, dup, batch_dup, fresh,
     CASE WHEN run_id = 'load-2' THEN (SELECT mark FROM mark) END AS previous,
     CASE WHEN run_id = 'load-1' THEN (SELECT mark FROM mark)
          ELSE (SELECT max(transaction_date) FROM bronze) END AS newest,
@@ -561,7 +563,8 @@ ORACLES: dict[str, str] = {
     "run_report": _with(*_TO_REPORT)
     + f"""SELECT run_id, run_mode, source_name, rtrim(start, 'Z') AS requested_from,
         fetched AS records_fetched, valid AS records_valid, bad AS records_quarantined,
-        dup AS records_duplicate_flagged, strftime(previous, {_ISO}) AS previous_watermark,
+        dup AS records_duplicate_flagged, CAST(late AS BIGINT) AS records_late_rejected,
+        strftime(previous, {_ISO}) AS previous_watermark,
         strftime(newest, {_ISO}) AS new_watermark, CAST(2 AS INTEGER) AS lookback_days,
         CAST(0 AS DOUBLE) AS duration_seconds, 'success' AS status
       FROM loads""",
@@ -570,7 +573,8 @@ ORACLES: dict[str, str] = {
         strptime(start, '%Y-%m-%dT%H:%M:%SZ') AS requested_from, stamp AS started_at, stamp AS ended_at,
         'success' AS status, fetched AS records_fetched, valid AS records_valid,
         bad AS records_quarantined, dup AS records_duplicate_flagged, fresh AS records_new,
-        batch_dup AS records_duplicate_in_batch, previous AS previous_watermark, newest AS new_watermark,
+        batch_dup AS records_duplicate_in_batch, CAST(late AS BIGINT) AS records_late_rejected,
+        previous AS previous_watermark, newest AS new_watermark,
         CAST(NULL AS VARCHAR) AS error_message
       FROM loads ORDER BY started_at""",
     "duplicate_steps_of_loads": _with(*_TO_REPORT)

@@ -127,3 +127,63 @@ def daily_account_summary_by_joins(
         F.array_join(F.sort_array(F.collect_set("currency")), ",").alias("currencies"),
     )
     return _finish(totals.join(top_category(rows), GRAIN, "left"), as_of)
+
+
+_SUMMED = ["debit", "credit", "n"]
+_COMPARED = [
+    *GRAIN, "merchant_category", "merchant_name", "currency", "transaction_type", "amount",
+]
+
+
+def summary_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What changes per account-day between two versions of the same days of staging.
+
+    ``account_id``, ``transaction_date`` and the differences of ``debit``, ``credit`` and
+    ``n``: completed rows after count up, rows before count down.  Rows that are equal in
+    what the summary is made of cancel out; an account-day is returned if any of its rows
+    does not, also where the differences are all 0.
+    """
+    signed = completed(after).select("transaction_id", *_COMPARED, F.lit(1).alias("sign")).unionAll(
+        completed(before).select("transaction_id", *_COMPARED, F.lit(-1).alias("sign"))
+    )
+    left = (
+        signed.groupBy("transaction_id", *_COMPARED)
+        .agg(F.sum("sign").alias("sign"))
+        .where("sign <> 0")
+    )
+    side = lambda name: F.sum(
+        F.when(F.col("transaction_type") == name, F.col("sign") * F.col("amount")).otherwise(0)
+    )
+    return left.groupBy(*GRAIN).agg(
+        side("debit").cast(MONEY).alias("debit"),
+        side("credit").cast(MONEY).alias("credit"),
+        F.sum("sign").alias("n"),
+    )
+
+
+def merged_summary(
+    summary: DataFrame, changes: DataFrame, after: DataFrame, as_of: datetime | None = None
+) -> DataFrame:
+    """``summary`` of some days, brought up to date by ``summary_changes`` in them.
+
+    Totals and counts are those before plus the differences.  Distinct merchants, top
+    category and currencies cannot be taken back from an aggregate: they are computed
+    from the rows of the changed account-days.  Other account-days stay as they are,
+    with their ``updated_at``; one without rows goes.
+    """
+    touched = changes.select(*GRAIN)
+    fresh = daily_account_summary(after.join(touched, GRAIN, "left_semi"), as_of).select(
+        *GRAIN, "distinct_merchants", "top_category", "currencies"
+    )
+    old = summary.select(
+        *GRAIN, "total_debit_amount", "total_credit_amount", "transaction_count"
+    )
+    moved = changes.join(old, GRAIN, "left").select(
+        *GRAIN,
+        (F.coalesce("total_debit_amount", F.lit(0)) + F.col("debit")).cast(MONEY).alias("total_debit_amount"),
+        (F.coalesce("total_credit_amount", F.lit(0)) + F.col("credit")).cast(MONEY).alias("total_credit_amount"),
+        (F.coalesce("transaction_count", F.lit(0)) + F.col("n")).alias("transaction_count"),
+    )
+    changed = _finish(moved.where("transaction_count > 0").join(fresh, GRAIN), as_of)
+    kept = summary.join(touched, GRAIN, "left_anti").select(schemas.SUMMARY.fieldNames())
+    return kept.unionByName(changed)

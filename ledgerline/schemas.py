@@ -65,6 +65,7 @@ RUNS = (
     .add("records_duplicate_flagged", "long")
     .add("records_new", "long")
     .add("records_duplicate_in_batch", "long")
+    .add("records_late_rejected", "long")
     .add("previous_watermark", "timestamp_ntz")
     .add("new_watermark", "timestamp_ntz")
     .add("error_message", "string")
@@ -94,6 +95,7 @@ REPORT = (
     .add("records_valid", "long")
     .add("records_quarantined", "long")
     .add("records_duplicate_flagged", "long")
+    .add("records_late_rejected", "long")
     .add("previous_watermark", "string")
     .add("new_watermark", "string")
     .add("lookback_days", "integer")
