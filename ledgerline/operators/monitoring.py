@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from ledgerline.contract import Contract
 from ledgerline.functions.times import utc_literal
+from ledgerline.operators.rollup import daily_sketch, quantile_of
 from ledgerline.plans.summary import GRAIN, MONEY
 from ledgerline.sources.landing import parse_records
 
@@ -197,3 +198,56 @@ def reporting_amounts(completed: DataFrame, rates: DataFrame) -> DataFrame:
         F.sum(F.col("net_amount") * F.col("rate")).cast(MONEY).alias("net_reporting_amount"),
         F.count_if(F.col("rate").isNull()).alias("currencies_without_rate"),
     )
+
+
+def rates_as_of(days: DataFrame, rates: DataFrame) -> DataFrame:
+    """``currency``, ``transaction_date``, ``rate``, ``rate_date``: the latest rate on or before.
+
+    ``days`` holds the currencies and days asked for.  Only distinct ones meet the rates,
+    so a group of the window has no more rows than there are days, however many rows a
+    currency has.  Days before a currency's first rate get none.
+    """
+    keys = ["currency", "transaction_date"]
+    asked = days.select(*keys).distinct().withColumn("rate", F.lit(None).cast("decimal(10,4)"))
+    known = rates.select(*keys, F.col("rate").cast("decimal(10,4)").alias("rate"))
+    both = asked.withColumn("asked", F.lit(True)).unionByName(known.withColumn("asked", F.lit(False)))
+    # Within a day the rate stands before the day asked for.
+    until = Window.partitionBy("currency").orderBy("transaction_date", "asked")
+    carried = F.last(F.when(~F.col("asked"), F.struct("rate", "transaction_date")), ignorenulls=True)
+    return (
+        both.withColumn("last", carried.over(until))
+        .where("asked")
+        .select(*keys, F.col("last.rate").alias("rate"), F.col("last.transaction_date").alias("rate_date"))
+    )
+
+
+def reporting_amounts_as_of(completed: DataFrame, rates: DataFrame) -> DataFrame:
+    """``reporting_amounts`` with the latest rate on or before each day.
+
+    Days between rates are converted; ``currencies_without_rate`` counts those before a
+    currency's first rate.
+    """
+    return reporting_amounts(completed, rates_as_of(completed, rates).drop("rate_date"))
+
+
+def days_without_rate(completed: DataFrame, rates: DataFrame) -> DataFrame:
+    """``currency``, ``transaction_date`` of completed rows before the currency's first rate."""
+    found = rates_as_of(completed, rates)
+    return found.where("rate_date IS NULL").select("currency", "transaction_date")
+
+
+def lag_sketch(bronze: DataFrame) -> DataFrame:
+    """``day``, ``step``, ``n``: ingestion lags in seconds by day of ingestion, mergeable."""
+    lag = _seconds(F.col("ingestion_timestamp")) - _seconds(F.col("transaction_date"))
+    dated = bronze.withColumn("day", F.col("ingestion_timestamp").cast("date"))
+    return daily_sketch(dated, "day", lag)
+
+
+def lookback_from_sketch(sketches: DataFrame, share: float = 0.99) -> DataFrame:
+    """The whole days that cover the given share of lags, from sketches of days alone.
+
+    The lag is known to one part in a hundred, and so are the days before rounding up.
+    """
+    days = F.ceil(F.col("quantile") / _DAY_SECONDS)
+    return quantile_of(sketches, share).select(days.cast("bigint").alias("lookback_days"))
+

@@ -417,6 +417,14 @@ loads AS (
 _TO_REPORT = (*_TO_FLAGGED, _MARK, _LOADS)
 _ISO = "'%Y-%m-%dT%H:%M:%S'"
 
+_MONDAYS = """
+rates AS (
+  SELECT currency, transaction_date, CAST(count(*) AS DECIMAL(10,4)) AS rate
+  FROM done WHERE isodow(transaction_date) = 1 GROUP BY ALL),
+carried AS (
+  SELECT done.*, rates.rate FROM done ASOF LEFT JOIN rates
+    ON done.currency = rates.currency AND done.transaction_date >= rates.transaction_date)"""
+
 ORACLES: dict[str, str] = {
     "landing_scan": _with(_TXN) + f"SELECT {_TXN_ROW} FROM txn",
     "incremental_scan": _with(*_TO_BRONZE, _MARK)
@@ -667,4 +675,51 @@ ORACLES: dict[str, str] = {
           AS DECIMAL(18,2)) AS net_reporting_amount,
         count(*) FILTER (rate IS NULL) AS currencies_without_rate
       FROM done LEFT JOIN rates USING (currency, transaction_date) GROUP BY ALL""",
+    "watermark_read": _with(*_TO_BRONZE)
+    + """SELECT 'landing.transactions' AS source_name, max(transaction_date) AS watermark_value,
+        strftime(max(transaction_date) - INTERVAL 2 DAY, '%Y-%m-%dT%H:%M:%SZ') AS next_request_from
+      FROM bronze""",
+    "upsert_indexed": _with(*_TO_BRONZE)
+    + """SELECT transaction_id, account_id,
+        CASE WHEN status = 'pending' THEN transaction_date + INTERVAL 1 DAY
+             ELSE transaction_date END AS transaction_date,
+        status, CASE WHEN status = 'pending' THEN 'run-2' ELSE 'run-1' END AS ingestion_run_id
+      FROM bronze""",
+    "commit_aggregates": _with(*_TO_FLAGGED)
+    + """SELECT CAST(CAST(transaction_date AS DATE) AS VARCHAR) AS day, count(*) AS row_count,
+        count(*) FILTER (is_duplicate) AS duplicates, max(transaction_date) AS newest
+      FROM flagged GROUP BY 1""",
+    "blocked_publish": _with(*dict.fromkeys((*_TO_BRONZE, *_TO_JSON)))
+    + """SELECT transaction_id, 'load-1' AS ingestion_run_id, 'blocked' AS status,
+        (SELECT count(*) FROM checked_json WHERE len(found) = 0 AND delivery = 1) AS records_valid,
+        'PublishBlocked: schema_drift' AS error_message
+      FROM bronze WHERE transaction_date_raw < '2024-01-21'""",
+    "ordered_export": _with(_TXN)
+    + """SELECT (row_number() OVER w - 1) // 200 AS page, row_number() OVER w - 1 AS position,
+        transaction_date, transaction_id
+      FROM txn WINDOW w AS (ORDER BY transaction_date NULLS LAST, transaction_id NULLS LAST)""",
+    "export_csv": _with(*_TO_MART) + "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM mart",
+    "monthly_merchants": _with(*_TO_STG)
+    + """SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS period, account_id,
+        count(DISTINCT merchant_name) AS distinct_values
+      FROM done WHERE merchant_name IS NOT NULL GROUP BY ALL""",
+    "lookback_from_sketch": _with(*_TO_BRONZE)
+    + """, steps AS (
+        SELECT CASE WHEN lag > 0 THEN ceil(ln(lag) / ln(1.01 / 0.99)) END AS step, count(*) AS n
+        FROM (SELECT CAST(date_diff('second', transaction_date, TIMESTAMP '2024-04-01') AS DOUBLE)
+              AS lag FROM bronze) GROUP BY 1),
+      upto AS (
+        SELECT step, sum(n) OVER (ORDER BY step NULLS FIRST) AS running, sum(n) OVER () AS total
+        FROM steps)
+      SELECT CAST(ceil(coalesce(pow(1.01 / 0.99, arg_min(step, running)) * (2 / (1 + 1.01 / 0.99)), 0)
+        / 86400) AS BIGINT) AS lookback_days
+      FROM upto WHERE running >= 0.99 * total""",
+    "reporting_amounts_as_of": _with(*_TO_STG, _MONDAYS)
+    + """SELECT account_id, transaction_date,
+        CAST(sum((CASE WHEN transaction_type = 'credit' THEN amount ELSE -amount END) * rate)
+          AS DECIMAL(18,2)) AS net_reporting_amount,
+        count(DISTINCT currency) FILTER (rate IS NULL) AS currencies_without_rate
+      FROM carried GROUP BY ALL""",
+    "days_without_rate": _with(*_TO_STG, _MONDAYS)
+    + "SELECT DISTINCT currency, transaction_date FROM carried WHERE rate IS NULL",
 }

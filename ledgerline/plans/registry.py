@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from ledgerline.functions.checks import field_checks, label, text_view
 from ledgerline.functions.keys import natural_key, natural_key_hash, payload_key
 from ledgerline.functions.times import back_days, format_utc
-from ledgerline.operators import checksum, dedup, monitoring, quality, routing, watermark
+from ledgerline.operators import checksum, dedup, monitoring, quality, rollup, routing, watermark
+from ledgerline.operators.ordered import ordered_pages
 from ledgerline.operators.upsert import upsert
 from ledgerline.plans import reports, summary
 from ledgerline.plans.fixture import FIRST_LOAD_END, load, payloads
 from ledgerline.plans.staging import completed
 from ledgerline.plans.warehouse import AS_OF, LOOKBACK_DAYS, Warehouse, warehouse
-from ledgerline.session import materialize
+from ledgerline.session import materialize, scratch_path
+from ledgerline.sources import sinks
 from ledgerline.sources.landing import (
     incremental_scan,
     json_view,
@@ -452,6 +454,91 @@ def watermark_snapshot_(w: Warehouse) -> DataFrame:
     )
 
 
+@register
+def watermark_read(w: Warehouse) -> DataFrame:
+    """The stored watermark and where the next request of the source starts."""
+    store, _ = w.two_loads
+    mark = store.watermark.current().where(F.col("source_name") == routing.DEFAULT_SOURCE)
+    start = back_days(F.col("watermark_value"), LOOKBACK_DAYS)
+    return mark.select("source_name", "watermark_value", format_utc(start).alias("next_request_from"))
+
+
+@register
+def upsert_indexed(w: Warehouse) -> DataFrame:
+    """All rows, then those pending a day later as a batch: moved rows leave their old day."""
+    return w.moved_store.bronze.read().select(
+        "transaction_id", "account_id", "transaction_date", "status", "ingestion_run_id"
+    )
+
+
+@register
+def commit_aggregates(w: Warehouse) -> DataFrame:
+    """Counts and newest date per day as the commit list has them."""
+    days = w.full_store.bronze.stats()
+    rows = [(d, s["rows"], s["duplicates"], s["newest"]) for d, s in sorted(days.items())]
+    schema = "day string, row_count long, duplicates long, newest string"
+    return w.spark.createDataFrame(rows, schema).withColumn(
+        "newest", F.col("newest").cast("timestamp_ntz")
+    )
+
+
+@register
+def blocked_publish(w: Warehouse) -> DataFrame:
+    """A run that brings drift and is held back: what readers see, and what the audit says."""
+    store = w.blocked_store
+    last = latest_run(store.runs.current())
+    told = [last.select(c).scalar().alias(c) for c in ("status", "records_valid", "error_message")]
+    return store.bronze.read().select("transaction_id", "ingestion_run_id", *told)
+
+
+@register
+def ordered_export(w: Warehouse) -> DataFrame:
+    """Every page of the whole table at once."""
+    pages = ordered_pages(w.txn, PAGE_ROWS, ["transaction_date", "transaction_id"])
+    return pages.select("page", "position", "transaction_date", "transaction_id")
+
+
+@register
+def export_csv(w: Warehouse) -> DataFrame:
+    """The summary written as CSV and read back as text."""
+    path = scratch_path(w.spark, "export")
+    sinks.export_csv(w.summary.select(CONTENT), path)
+    return w.spark.read.csv(path, header=True, escape='"')
+
+
+@register
+def monthly_merchants(w: Warehouse) -> DataFrame:
+    """Distinct merchants per account and month, from bitmaps of the days."""
+    rows = completed(w.staging)
+    names = rollup.dictionary(rows.select("merchant_name"))
+    days = rollup.daily_bitmaps(rows, names, "transaction_date", "merchant_name", "account_id")
+    month = F.trunc("transaction_date", "month")
+    return rollup.distinct_in(materialize(days, "bitmaps"), month, "account_id")
+
+
+@register
+def lookback_from_sketch(w: Warehouse) -> DataFrame:
+    return monitoring.lookback_from_sketch(materialize(monitoring.lag_sketch(w.bronze), "lags"))
+
+
+def _monday_rates(w: Warehouse) -> DataFrame:
+    """Rates of Mondays only, and none for the first days: the number of a day's rows."""
+    rows = completed(w.staging).where("weekday(transaction_date) = 0")
+    return rows.groupBy("currency", "transaction_date").agg(
+        F.count("*").cast("decimal(10,4)").alias("rate")
+    )
+
+
+@register
+def reporting_amounts_as_of(w: Warehouse) -> DataFrame:
+    return monitoring.reporting_amounts_as_of(completed(w.staging), _monday_rates(w))
+
+
+@register
+def days_without_rate(w: Warehouse) -> DataFrame:
+    return monitoring.days_without_rate(completed(w.staging), _monday_rates(w))
+
+
 # Data tests.
 
 

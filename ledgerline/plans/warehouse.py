@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
 from dataclasses import dataclass
 from datetime import datetime
 from functools import cached_property, lru_cache
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.contract import Contract
-from ledgerline.ingest import rebuild_summary, run_ingest
+from ledgerline.ingest import PublishBlocked, rebuild_summary, run_ingest, upsert_bronze
 from ledgerline.operators.dedup import flag_duplicates
 from ledgerline.operators.routing import (
     DEFAULT_SOURCE,
@@ -173,6 +174,34 @@ class Warehouse:
         ]
         return store, reports[0].unionByName(reports[1])
 
+    @cached_property
+    def moved_store(self) -> Store:
+        """All valid rows, then the pending ones again, dated a day later."""
+        store = self._new_store("moved")
+        upsert_bronze(store, self.bronze, "fail")
+        later = self.bronze.where("status = 'pending'").withColumns(
+            {
+                "transaction_date": F.col("transaction_date") + F.make_dt_interval(days=F.lit(1)),
+                "ingestion_run_id": F.lit("run-2"),
+            }
+        )
+        upsert_bronze(store, later, "fail")
+        return store
+
+    @cached_property
+    def blocked_store(self) -> Store:
+        """A first load, and one with members outside the contract, which is held back."""
+        store = self._new_store("blocked")
+        first = read_landing(self.spark, f"{self.landing}/delivery=1")
+        run_ingest(first, store, self.contract, run_id="load-1", as_of=datetime(2024, 4, 1, 1))
+        drifted = read_landing(self.spark, f"{self.payload_landing}/delivery=1")
+        with suppress(PublishBlocked):
+            run_ingest(
+                drifted, store, self.contract, run_id="load-2", as_of=datetime(2024, 4, 1, 2),
+                on_conflict="latest", on_drift="fail",
+            )
+        return store
+
     @cached_property
     def streamed_store(self) -> Store:
         store = self._new_store("streamed")

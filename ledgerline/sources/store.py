@@ -232,7 +232,7 @@ class DailyTable:
         Nothing of it is seen before ``Store.publish``.  Rebalancing gives each day files
         of a sensible size: small days share no task's leftovers, and a day with a large
         share of all rows is written by many tasks.  ``of`` names per day what the
-        rows were made of, and ``more`` are further aggregates, which no commit carries.
+        rows were made of.  ``more`` are further aggregates, which the commit leaves out.
         """
         days = tuple(sorted(set(days)))
         if not days:
