@@ -11,9 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerline.session import materialize
+
 BLOCK = 8  # dimensions that are added between two prunings
-QUERY_BLOCK, ROW_BLOCK = 512, 16_384  # vectors one task holds of either side
+# Vectors one task holds of either side.  Every row is shuffled once for each block of
+# queries, so that block is as large as a task can hold.
+QUERY_BLOCK, ROW_BLOCK = 16_384, 16_384
 SEED = 256  # rows of a block that are scored in full to start the thresholds
+RAISED = 4096  # rows left at most for the thresholds to be raised between blocks
 EXACT = 1 << 53  # whole numbers below this are exact as doubles
 
 
@@ -33,26 +38,30 @@ def _bounded_top(queries: np.ndarray, rows: np.ndarray, k: int) -> Iterator[tupl
     score known so far are dropped, and the survivors are packed together.
     """
     n_dims, n_rows = rows.shape
-    reach = int(np.abs(queries).max(initial=0)) * int(np.abs(rows).max(initial=0))
-    if max(reach, 1) * max(n_dims, 1) < EXACT:
+    norm = lambda x: math.sqrt((x.astype(np.float64) ** 2).sum(axis=1).max(initial=1))
+    most = norm(queries) * norm(rows.T) * (1 + 1e-9)  # no sum of products is larger
+    if most >= 1 << 63:
+        raise OverflowError("scores of these vectors do not fit 64 bits")
+    # Above 2 ** 53 sums are whole numbers, and bounds allow for their rounding as doubles.
+    slack = 0.0 if most < EXACT else 4.0 * most / EXACT
+    if not slack:
         queries, rows = queries.astype(np.float64), rows.astype(np.float64)
-    else:  # beyond doubles: exact integers, and no pruning by rounded norms
-        queries, rows = queries.astype(object), rows.astype(object)
-        for q in queries:
-            yield np.arange(n_rows), np.array([int(s) for s in q @ rows], dtype=object)
-        return
     cuts = list(range(0, n_dims, BLOCK))
-    tails = lambda x: np.sqrt(np.cumsum((x * x)[::-1], axis=0)[::-1])
+    tails = lambda x: np.sqrt(np.cumsum((x.astype(np.float64) ** 2)[::-1], axis=0)[::-1])
     row_tails, query_tails = tails(rows)[cuts], tails(queries.T)[cuts]
-    seed = queries @ rows[:, :SEED]
+    seeds = rows[:, :SEED]
     for i, q in enumerate(queries):
-        known = np.partition(seed[i], -k)[-k] if seed.shape[1] >= k else -math.inf
+        seed = q @ seeds
+        known = float(np.partition(seed, -k)[-k]) if len(seed) >= k else -math.inf
         alive = np.arange(n_rows)
-        score = np.zeros(n_rows)
+        score = np.zeros(n_rows, dtype=rows.dtype)
         for b, at in enumerate(cuts):
             # A hair above, for the rounding of the norms.
-            bound = score + query_tails[b, i] * row_tails[b, alive] * (1 + 1e-9)
-            keep = bound >= known
+            left = query_tails[b, i] * row_tails[b, alive] * (1 + 1e-9) + slack
+            if b and k <= len(alive) <= RAISED:
+                # What the k-th best row has at the least once the rest is added.
+                known = max(known, float(np.partition(score - left, -k)[-k]))
+            keep = score + left >= known
             if not keep.all():
                 alive, score = alive[keep], score[keep]
             part = slice(at, at + BLOCK)
@@ -80,7 +89,7 @@ def _block_top(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
         most = k + int(np.unique(ids, return_counts=True)[1].max())
         for q, (at, score) in zip(asked, _bounded_top(vectors, sets, most), strict=True):
             other = ids[at] != q
-            at, score = at[other], np.clip(score[other], -(1 << 63), (1 << 63) - 1)
+            at, score = at[other], score[other]
             best = np.lexsort((ids[at], -score))[:k]
             out.append(
                 pd.DataFrame(
@@ -103,20 +112,22 @@ def exact_top_k(vectors: DataFrame, *, k: int = 5, every: int = 50, scale: int =
     Vectors that are null or hold a null or non-finite component take no part, and
     neither do rows without a vec_id.  Vectors of different lengths are never
     compared.  Repeated rows count once.  Empty vectors score 0.  A query with fewer
-    than k candidates gets all of them, an empty table an empty result.  Other
-    columns are ignored.
+    than k candidates gets all of them, an empty table an empty result.  Scores that may
+    not fit 64 bits are refused.  A very long vector is held by one task with those of its
+    block.  Other columns are ignored.
 
     Queries and rows meet in blocks, so neither side is broadcast; within a block
     the work is the bounded search above, and only k rows a query leave it.
     """
-    usable = (
+    usable = materialize(
         vectors.select(
             F.col("vec_id").cast("long").alias("vec_id"),
             quantised(F.col("embedding"), scale).alias("v"),
         )
         .where("vec_id IS NOT NULL AND v IS NOT NULL")
         .distinct()
-        .withColumn("dims", F.size("v"))
+        .withColumn("dims", F.size("v")),
+        "vectors",
     )
     is_query = F.pmod("vec_id", F.lit(every)) == 0
     sizes = usable.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from llm_helpers import TESTDATA, rows_of
+from pyspark.errors import PythonException
 
 from ledgerline.llm import topk
 from ledgerline.llm.tables import table
@@ -69,3 +70,22 @@ def test_awkward_rows(session):
 def test_numbers_beyond_doubles_are_exact(session):
     rows = [(0, [1e7, 1.0]), (1, [1e7, 0.00390625]), (2, [1e7, 0.0]), (3, [-1e7, 5.0]), (4, [1.0, 1.0])]
     assert sorted(rows_of(exact_top_k(frame(session, rows)))) == brute(rows)
+
+
+def test_scores_beyond_64_bits_are_refused(session):
+    rows = [(0, [1e9, 1.0]), (1, [1e9, 2.0])]
+    with pytest.raises(PythonException, match="do not fit 64 bits"):
+        exact_top_k(frame(session, rows)).collect()
+
+
+@pytest.mark.parametrize("scale", [1.0, 3e5])
+def test_bounds_prune_and_lose_nothing(monkeypatch, scale):
+    rng = np.random.default_rng(4)
+    rows = (scale * rng.normal(size=(40, 3000)) * np.linspace(3, 0.1, 40)[:, None] * 256).astype(np.int64)
+    queries = rows.T[::300].copy()
+    monkeypatch.setattr(topk, "RAISED", 3000)
+    for q, (at, score) in zip(queries, topk._bounded_top(queries, rows, 5), strict=True):
+        exact = q.astype(object) @ rows.astype(object)
+        order = sorted(range(3000), key=lambda j: -exact[j])[:5]
+        assert set(order) <= set(at.tolist())
+        assert [int(s) for s in score] == [exact[j] for j in at]
