@@ -11,14 +11,13 @@ import pytest
 from helpers import payload_frame, record
 from pyspark.sql import functions as F
 
-from ledgerline import ingest
+from ledgerline import ingest, schemas
 from ledgerline.ingest import PublishBlocked, rebuild_summary, run_ingest, upsert_bronze
 from ledgerline.operators.checksum import SUMMARY_CONTENT
 from ledgerline.operators.id_filter import id_filters, may_hold, merged, size_for
 from ledgerline.sources import store as stores
 from ledgerline.sources.store import CommitConflict, CommitLog, DailyTable, LogTable
 from ledgerline.streaming.ingest_stream import start_ingest_stream
-from ledgerline import schemas
 
 
 def txn(number, day, **changes):
