@@ -252,6 +252,7 @@ class Warehouse:
             F.coalesce("records_duplicate_flagged", F.lit(0)).alias("records_duplicate_flagged"),
             F.col("records_valid").alias("records_new"),
             F.coalesce("records_duplicate_flagged", F.lit(0)).alias("records_duplicate_in_batch"),
+            F.lit(0).cast("long").alias("records_late_rejected"),
             F.lit(None).cast("timestamp_ntz").alias("previous_watermark"),
             "new_watermark",
             F.lit(None).cast("string").alias("error_message"),

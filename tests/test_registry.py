@@ -48,6 +48,19 @@ COMPARED = [
     "health_of_replays",
     "volume_anomalies",
     "q_net_amount",
+    "duplicate_rate_steps",
+    "quarantine_rate_alerts",
+    "incremental_summary",
+    "watermark_read",
+    "upsert_indexed",
+    "commit_aggregates",
+    "blocked_publish",
+    "ordered_export",
+    "export_csv",
+    "monthly_merchants",
+    "lookback_from_sketch",
+    "reporting_amounts_as_of",
+    "days_without_rate",
 ]
 
 
