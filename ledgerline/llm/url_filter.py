@@ -10,17 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Terms and their weights; a url whose distinct terms weigh REJECT together is
-# blocked.  Strict terms do that alone, soft terms need company.
+# blocked.  Strict terms do that alone, soft terms need company.  These are common
+# words, not hosts; a list of a user's own comes by ``vocabulary_of``.
 REJECT = 2
-STRICT = (
-    "porn porno xxx hentai camgirls casino casinos viagra cialis free-bets cheap-pills "
-    "spam-farm adult-x ads-track"
-).split()
+STRICT = "porn porno xxx hentai camgirls casino casinos viagra cialis".split()
 SOFT = (
     "adult sex sexy nude escort escorts dating bet bets betting poker slots jackpot lottery "
     "win pills pharmacy cheap free crack warez torrent keygen spam ads track payday loans"
 ).split()
 VOCABULARY = {**dict.fromkeys(SOFT, 1), **dict.fromkeys(STRICT, REJECT)}
+MOST_TERMS = 200_000  # a vocabulary travels with every task
 
 # (host, path, verdict); a rule holds for the host and its subdomains.
 RULES = (
@@ -59,37 +58,66 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
     return out
 
 
+def vocabulary_of(table: DataFrame, most: int = MOST_TERMS) -> dict[str, int]:
+    """Terms and weights from the columns ``term`` and ``weight`` of a table.
+
+    Terms are trimmed, A-Z lower-cased, and the largest weight of a term holds.  Rows
+    without a term or a weight, and terms that are empty, say nothing; other columns are
+    ignored, and an empty table gives no terms.  A vocabulary of more than ``most`` terms
+    is refused, not cut, as it is held on the driver and in every task.
+    """
+    term = _lower(F.trim(F.col("term").cast("string")))
+    terms = (
+        table.select(term.alias("term"), F.col("weight").cast("int").alias("weight"))
+        .where("term <> '' AND weight IS NOT NULL")
+        .groupBy("term")
+        .agg(F.max("weight").alias("weight"))
+    )
+    rows = terms.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a vocabulary has at most {most} terms")
+    return {r["term"]: r["weight"] for r in sorted(rows, key=lambda r: r["term"])}
+
+
+_HITS = pa.struct([("terms", pa.list_(pa.string())), ("weight", pa.int64())])
+
+
 def _weighed(vocabulary: Mapping[str, int]) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
-    def hits(automaton: ahocorasick.Automaton, url: str | None) -> list[str]:
-        if not url:
-            return []
+    def hits(automaton: ahocorasick.Automaton, url: str | None) -> dict:
+        found: dict[str, int] = {}
         # Bytes as Latin-1 characters: positions are byte offsets, and only A-Z change.
-        raw = url.encode("utf-8").lower()
-        found = set()
-        for last, term in automaton.iter(raw.decode("latin-1")):
+        raw = (url or "").encode("utf-8").lower()
+        for last, (term, weight) in automaton.iter(raw.decode("latin-1")):
             before, after = last - len(term), last + 1
             if (before < 0 or raw[before] not in _WORD) and (
                 after == len(raw) or raw[after] not in _WORD
             ):
-                found.add(term)
-        return sorted(found)
+                found[term] = weight
+        return {"terms": sorted(found), "weight": sum(found.values())}
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         automaton = ahocorasick.Automaton()
-        for term in vocabulary:
-            automaton.add_word(term, term)
+        for term, weight in vocabulary.items():
+            automaton.add_word(term, (term, weight))
         automaton.make_automaton()
         for urls in batches:
-            yield pa.array([hits(automaton, u) for u in urls.to_pylist()], pa.list_(pa.string()))
+            yield pa.array([hits(automaton, u) for u in urls.to_pylist()], _HITS)
+
+    def none(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for urls in batches:
+            yield pa.array([{"terms": [], "weight": 0}] * len(urls), _HITS)
+
+    return run if vocabulary else none
 
-    return run
 
+def url_hits(url: Column, vocabulary: Mapping[str, int] = VOCABULARY) -> Column:
+    """Struct ``terms``, ``weight``: the distinct terms in a url, sorted, and their sum.
 
-def url_terms(url: Column, vocabulary: Mapping[str, int] = VOCABULARY) -> Column:
-    """The distinct terms in a url, sorted; each must not touch an ASCII letter or digit."""
+    Each must not touch an ASCII letter or digit.
+    """
     if any(not t or t != t.lower() or not t.isascii() for t in vocabulary):
         raise ValueError("terms are lower-case ASCII")
-    return F.arrow_udf(_weighed(vocabulary), "array<string>")(url)
+    return F.arrow_udf(_weighed(vocabulary), "struct<terms:array<string>,weight:bigint>")(url)
 
 
 def url_verdicts(
@@ -102,30 +130,29 @@ def url_verdicts(
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``terms``, ``weight`` per row.
 
     A rule decides where one holds.  Else the url is blocked if the terms found in
-    it (``url_terms``) weigh ``reject`` or more, each distinct term counting once,
+    it (``url_hits``) weigh ``reject`` or more, each distinct term counting once,
     and allowed otherwise.  A null url, and one without ``://``, has an empty host
     and path; a null or empty url holds no term and is allowed.  Rows are judged
     one by one: repeated rows get one result each, a null page_id stays, an empty
-    table gives none, and other columns are ignored.
+    table gives none, and other columns are ignored.  A url of any length is looked at
+    whole, in one pass, whatever the number of terms.
     """
     url = F.col("url").cast("string")
     parts = pages.select(
         "page_id", host(url).alias("host"), path(url).alias("path"), url.alias("u")
     )
-    judged = parts.withColumn("terms", url_terms(F.col("u"), vocabulary)).withColumn(
+    judged = parts.withColumn("hits", url_hits(F.col("u"), vocabulary)).withColumn(
         "found", matching_rule(F.col("host"), F.col("path"), rules)
     )
-    weights = F.create_map(*[F.lit(x) for item in vocabulary.items() for x in item])
-    weight = F.aggregate("terms", F.lit(0), lambda total, t: total + weights[t])
-    own = F.when(F.col("weight") >= reject, "block").otherwise("allow")
-    return judged.withColumn("weight", weight).select(
+    own = F.when(F.col("hits.weight") >= reject, "block").otherwise("allow")
+    return judged.select(
         "page_id",
         "host",
         "path",
         F.col("found.rule").alias("rule"),
         F.coalesce("found.verdict", own).alias("verdict"),
-        F.array_join("terms", ",").alias("terms"),
-        "weight",
+        F.array_join("hits.terms", ",").alias("terms"),
+        F.col("hits.weight").cast("int").alias("weight"),
     )
 
 
