@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.tables import unused
 
-BEFORE = 40  # code points before a span that are searched for context words
+AROUND = 40  # code points before and after a span that are searched for context words
 
 
 @dataclass(frozen=True)
 class Kind:
     """``pattern`` proposes; ``hint`` is a plain test that every match's text passes.
 
-    ``score`` holds for a confirmed span; a word of ``near`` shortly before it adds
-    ``BONUS``, one of ``far`` takes ``MALUS``.
+    ``score`` holds for a confirmed span; a word of ``near`` shortly before or after it
+    adds ``BONUS``, one of ``far`` takes ``MALUS``.
     """
 
     name: str
@@ -82,8 +82,37 @@ def _phone(hit: Column) -> Column:
     return F.length(_digits(hit)).between(8, 15)
 
 
+# The length of an IBAN by its country.  Other countries are not judged by length.
+IBAN_LENGTHS = {
+    "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20,
+    "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IS": 26,
+    "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15,
+    "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27,
+}
+
+
 def _iban(hit: Column) -> Column:
-    return mod97(F.regexp_replace(hit, " ", ""))
+    code = F.regexp_replace(hit, " ", "")
+    lengths = F.create_map(*[F.lit(x) for item in IBAN_LENGTHS.items() for x in item])
+    right = F.coalesce(lengths[F.substring(code, 1, 2)], F.length(code))
+    return (F.length(code) == right) & mod97(code)
+
+
+def _dni(hit: Column) -> Column:
+    """The letter is the number modulo 23; X, Y, Z in front stand for 0, 1, 2."""
+    number = F.translate(F.substring(hit, 1, 8), "XYZ", "012").cast("int")
+    letters = F.lit("TRWAGMYFPDXBNJZSQVHLCKE")  # fixed values, by remainder
+    return F.substring(letters, number % 23 + 1, F.lit(1)) == F.right(hit, F.lit(1))
+
+
+def _ssn(hit: Column) -> Column:
+    """Numbers that are never given out are none."""
+    return ~hit.rlike("^(?:000|666|9)|-00-|-0000$")
+
+
+def _secret(hit: Column) -> Column:
+    """A key made by chance has digits; a private key's first line need not."""
+    return hit.startswith("-----") | hit.rlike("[0-9]")
 
 
 # The first four patterns are fixed values.  They are written so that long runs cost
@@ -138,10 +167,40 @@ ADDED = (
         "iban|account|bank|konto|compte|cuenta",
         "example",
     ),
+    Kind(
+        "dni",
+        r"(?<![A-Za-z0-9])[0-9XYZ][0-9]{7}-?[A-Z](?![A-Za-z0-9])",
+        "[0-9]{7}-?[A-Z]",
+        _dni,
+        0.6,
+        "dni|nie|nif|documento|identidad",
+        "order|serial|tracking",
+    ),
+    Kind(
+        "ssn",
+        r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+        "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+        _ssn,
+        0.4,
+        "ssn|social security",
+        "order|serial|tracking|part",
+    ),
+    # Public formats of access keys and tokens, and the first line of a private key.
+    Kind(
+        "secret",
+        r"(?<![A-Za-z0-9_-])(?:A[KS]IA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}+"
+        r"|eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)(?![A-Za-z0-9])"
+        r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
+        "A[KS]IA|gh[pousr]_|xox[abprs]-|eyJ|PRIVATE KEY-----",
+        _secret,
+        0.9,
+        "key|token|secret|password|credential",
+        "example",
+    ),
 )
 KINDS = (*BASE, *ADDED)
 
-_SPANS = "array<struct<start:int,end:int,hit:string,before:string>>"
+_SPANS = "array<struct<start:int,end:int,hit:string,around:string>>"
 
 
 def proposed(text: Column, kind: Kind) -> Column:
@@ -150,14 +209,24 @@ def proposed(text: Column, kind: Kind) -> Column:
     The text between the matches and the matches themselves alternate; their lengths
     add up to the places.
     """
-    pairs = F.zip_with(
-        F.split(text, kind.pattern, -1),
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)),
-        lambda gap, hit: F.struct(
+    gaps = F.split(text, kind.pattern, -1)
+    hits = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    # What stands after a hit is the gap that follows; the last gap has no hit.
+    sides = F.zip_with(
+        gaps,
+        F.slice(gaps, F.lit(2), F.size(gaps)),
+        lambda gap, after: F.struct(
             F.length(gap).alias("gap"),
-            F.length(hit).alias("n"),
-            hit.alias("hit"),
-            F.lower(F.right(gap, F.lit(BEFORE))).alias("before"),
+            F.lower(
+                F.concat_ws("\n", F.right(gap, F.lit(AROUND)), F.left(after, F.lit(AROUND)))
+            ).alias("around"),
+        ),
+    )
+    pairs = F.zip_with(
+        sides,
+        hits,
+        lambda side, hit: F.struct(
+            side["gap"].alias("gap"), F.length(hit).alias("n"), hit.alias("hit"), side["around"].alias("around")
         ),
     )
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
@@ -166,7 +235,7 @@ def proposed(text: Column, kind: Kind) -> Column:
         begin = state["at"] + pair["gap"]
         end = begin + F.coalesce(pair["n"], F.lit(0))
         span = F.struct(
-            begin.alias("start"), end.alias("end"), pair["hit"].alias("hit"), pair["before"].alias("before")
+            begin.alias("start"), end.alias("end"), pair["hit"].alias("hit"), pair["around"].alias("around")
         )
         spans = F.when(pair["hit"].isNull(), state["spans"]).otherwise(
             F.concat(state["spans"], F.array(span))
@@ -180,11 +249,11 @@ def proposed(text: Column, kind: Kind) -> Column:
 
 
 def confirmed(spans: Column, kind: Kind) -> Column:
-    """The spans that pass the kind's check, scored by the words before them."""
+    """The spans that pass the kind's check, scored by the words around them."""
 
     def scored(span: Column) -> Column:
-        near = F.when(span["before"].rlike(kind.near), BONUS).otherwise(0.0)
-        far = F.when(span["before"].rlike(kind.far), MALUS).otherwise(0.0)
+        near = F.when(span["around"].rlike(kind.near), BONUS).otherwise(0.0)
+        far = F.when(span["around"].rlike(kind.far), MALUS).otherwise(0.0)
         score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), kind.score + near - far))
         return F.struct(
             F.lit(kind.name).alias("kind"),
@@ -228,9 +297,12 @@ def pii_summary(docs: DataFrame) -> DataFrame:
 
     ``doc_id``; ``n_email``, ``n_ip``, ``n_card``, ``n_phone``; ``base_sha256`` of the
     spans of these kinds as ``kind:start:end``, by kind and then start, joined by
-    commas; ``spans``: the same text for all kinds, the added ones (``iban``) last;
+    commas; ``spans``: the same text for all kinds, the added ones (``ADDED``) last;
     ``scores`` in the order of ``spans``.
 
+    A context word counts within ``AROUND`` code points before or after a span, up to the
+    next span of its kind.  Texts are searched whole, in time that grows with their length.
+
     A null text is an empty one and has no spans; the hash is then that of an empty
     text.  A match that its check refuses is dropped, and its text is not searched
     again.  Rows are judged one by one: repeated rows get equal results, a null doc_id
