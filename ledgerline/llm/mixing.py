@@ -11,11 +11,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.llm.tables import unused
+from ledgerline.operators.ordered import with_positions
 from ledgerline.session import materialize
 
 WEIGHTS = (5, 2, 1)
 SHARE, REPEATS = 1.5, 2
-BUCKET_ROWS = 4096  # documents summed up in one group of a running total
+BUCKET_ROWS = 4096  # rows summed up in one group of a running total
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -26,15 +27,31 @@ class Mix:
     units: DataFrame
 
     def figures(self) -> DataFrame:
-        each = F.explode(F.array_repeat(F.lit(0), F.col("m").cast("int")))
-        return self.units.select(
+        """One row per mixed row: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``.
+
+        Equal rows are written out again here; those of a row that is there more than
+        ``BUCKET_ROWS`` times are spread over tasks in blocks of that many.
+        """
+        rows = self.units.select(
             "doc_id",
             "size",
             "source_size",
             "target",
             (F.col("size") * F.col("copies")).alias("taken"),
-            each.alias("one"),
-        ).drop("one")
+            "m",
+        )
+        blocks = F.floor((F.col("m") - 1) / BUCKET_ROWS)
+        block = F.explode(F.sequence(F.lit(0).cast("long"), blocks)).alias("block")
+        spread = (
+            rows.where(F.col("m") > BUCKET_ROWS)
+            .select("*", block)
+            .repartition("doc_id", "block")
+            .withColumn("m", F.least(F.lit(BUCKET_ROWS), F.col("m") - F.col("block") * BUCKET_ROWS))
+            .drop("block")
+        )
+        each = F.explode(F.array_repeat(F.lit(0), F.col("m").cast("int"))).alias("one")
+        light = rows.where(F.col("m") <= BUCKET_ROWS)
+        return light.unionByName(spread).select("*", each).drop("m", "one")
 
     def documents(self, docs: DataFrame) -> DataFrame:
         """The mixed documents, each as often as it is taken, with all their columns.
@@ -65,34 +82,73 @@ def row_key(docs: DataFrame) -> Column:
     return F.md5(F.concat_ws("|", *held, *(c.isNull().cast("string") for c in held)))
 
 
+def running(rows: DataFrame, order: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """``rows`` with ``before_<c>``: the sum of ``c`` over all rows before, in that order.
+
+    Positions come from one range sort.  Groups of ``BUCKET_ROWS`` neighbours are summed up,
+    and only these sums, one row a group, are ordered in one task.
+    """
+    placed = with_positions(rows, order, name="at_row").withColumn(
+        "part", F.floor(F.col("at_row") / BUCKET_ROWS)
+    )
+    parts = placed.groupBy("part").agg(*(F.sum(c).alias(c) for c in sums))
+    earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    starts = parts.select(
+        "part", *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"start_{c}") for c in sums)
+    )
+    within = W.partitionBy("part").orderBy("at_row").rowsBetween(W.unboundedPreceding, -1)
+    return placed.join(starts, "part").select(
+        *rows.columns,
+        *(
+            (F.col(f"start_{c}") + F.coalesce(F.sum(c).over(within), F.lit(0))).alias(f"before_{c}")
+            for c in sums
+        ),
+    )
+
+
 def targets(sizes: DataFrame, weights: Sequence[int], share: float, repeats: int) -> DataFrame:
     """``sizes`` (``source``, ``source_size``) with each source's ``target`` and ``place``.
 
     Weights go round by the order of the names, null last.  ``share`` of all sizes is
     divided by weight; no target is above ``repeats`` times its source's size.  Which
     sources stop there follows from their order by that bound over their weight, in
-    one pass.  Windows here run over one row per source.
+    one pass.  There may be as many sources as documents: places and running totals
+    come from range sorts, and the driver reads four sums.
     """
-    by_name = W.orderBy(F.col("source").asc_nulls_last())
-    place = F.row_number().over(by_name) - 1
     cycle = F.array(*map(F.lit, weights))
-    placed = sizes.select(
-        "source", "source_size", place.alias("place"), F.get(cycle, place % len(weights)).alias("w")
-    ).withColumn("bound", F.col("source_size") * repeats)
-    rising = W.orderBy((F.col("bound") / F.col("w")).asc(), "place")
-    before = rising.rowsBetween(W.unboundedPreceding, -1)
-    onward = rising.rowsBetween(W.currentRow, W.unboundedFollowing)
-    everything = W.partitionBy()
-    total = F.sum("source_size").over(everything) * F.lit(float(share))
-    left = total - F.coalesce(F.sum("bound").over(before), F.lit(0))
-    stops = left * F.col("w") >= F.col("bound") * F.sum("w").over(onward)
-    found = placed.select("*", total.alias("total"), stops.alias("stops"))
-    spare = F.col("total") - F.sum(F.expr("IF(stops, bound, 0)")).over(everything)
-    share_by = F.sum(F.expr("IF(stops, 0, w)")).over(everything)
+    bound = F.col("source_size") * repeats
+    placed = (
+        with_positions(sizes.select("source", "source_size"), ["source"], name="place")
+        .withColumn("w", F.get(cycle, (F.col("place") % len(weights)).cast("int")))
+        .withColumn("bound", bound)
+        .withColumn("level", F.col("bound") / F.col("w"))
+    )
+    ranked = running(placed, ["level", "place"], ["bound", "w"])
+    whole = placed.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()
+    total = float(share) * (whole["size"] or 0)
+    left = F.lit(total) - F.col("before_bound")
+    onward = F.lit(whole["w"] or 0) - F.col("before_w")
+    found = materialize(
+        ranked.select(
+            "source",
+            "source_size",
+            "place",
+            "w",
+            "bound",
+            (left * F.col("w") >= F.col("bound") * onward).alias("stops"),
+        ),
+        "stops",
+    )
+    rest = found.agg(
+        F.sum(F.expr("IF(stops, bound, 0)")).alias("held"),
+        F.sum(F.expr("IF(stops, 0, w)")).alias("w"),
+    ).first()
     target = F.when(F.col("stops"), F.col("bound").cast("double")).otherwise(
-        F.try_divide(spare * F.col("w"), share_by)
+        F.try_divide(F.lit(total - (rest["held"] or 0)) * F.col("w"), F.lit(rest["w"] or 0))
+    )
+    return found.select(
+        "source", "source_size", "place", F.lit(total).alias("total"), target.alias("target")
     )
-    return found.select("source", "source_size", "place", "total", target.alias("target"))
 
 
 def mix_sources(
@@ -117,7 +173,8 @@ def mix_sources(
     gives an empty mix.
 
     Running totals have two levels, sums of groups of about ``BUCKET_ROWS`` rows and
-    totals within a group, so a source with a third of all rows is no single task.
+    totals within a group, so a source with a third of all rows is no single task, and
+    neither are as many sources as documents or offers that end at one time.
     """
     sized = docs.select(
         row_key(docs).alias("key"),
@@ -176,7 +233,7 @@ def mix_sources(
         "queue",
     )
 
-    # Offers by finish time; the budget ends in one group of them, which alone is sorted.
+    # Offers by finish time; the budget ends in one slot of them, which alone is ordered.
     one = queued.agg(F.count("*").alias("n"), F.first("total").alias("total")).first()
     if not one["n"]:
         return Mix(queued.withColumn("copies", F.lit(0).cast("long")))
@@ -197,21 +254,21 @@ def mix_sources(
         .withColumn("slot", _slot(F.col("at.finish"), fine))
     )
     per_slot = offers.groupBy("slot").agg(F.sum("words").alias("sum"))
-    running = F.sum("sum").over(W.orderBy("slot").rowsBetween(W.unboundedPreceding, 0))
     last = (
-        per_slot.select("slot", "sum", running.alias("upto"))
-        .where(F.col("upto") > one["total"])
-        .orderBy("slot")
-        .first()
+        running(per_slot, ["slot"], ["sum"])
+        .where(F.col("before_sum") + F.col("sum") > one["total"])
+        .agg(F.min(F.struct("slot", "before_sum")).alias("last"))
+        .first()["last"]
     )
     taken = [F.lit(1)] * repeats
     if last:
-        inside = F.sum("words").over(W.orderBy("at").rowsBetween(W.unboundedPreceding, 0))
+        # A slot may hold any number of offers: those of many sources that end at one time.
+        order = ["finish", "place", "turn", "key"]
+        inside = offers.where(F.col("slot") == last["slot"]).select("words", "at.*")
         fits = (
-            offers.where(F.col("slot") == last["slot"])
-            .select("at", inside.alias("inside"))
-            .where(F.col("inside") <= one["total"] - (last["upto"] - last["sum"]))
-            .agg(F.max("at").alias("at"))
+            running(inside, order, ["words"])
+            .where(F.col("before_words") + F.col("words") <= one["total"] - last["before_sum"])
+            .agg(F.max(F.struct(*order)).alias("at"))
             .first()["at"]
         )
         taken = [_taken(i, last["slot"], fits, fine) for i in range(repeats)]

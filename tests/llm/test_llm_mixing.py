@@ -72,6 +72,53 @@ def test_groups_do_not_change_the_result(docs, monkeypatch):
     assert sorted(rows_of(mix_sources(docs(rows[::-1])).figures())) == whole
 
 
+def test_as_many_sources_as_documents(docs, monkeypatch):
+    """Sources of one document end at one time, and the budget ends among them."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 8)
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.choice([0, 5, 5, 5, rng.randint(1, 40)]), f"s{i}") for i in range(150)]
+    out = mix_sources(docs(rows)).figures().collect()
+    sizes = {s: size(t) for _, t, s in rows}
+    want = shared_out(sizes)
+    assert {r["doc_id"]: r["target"] for r in out} == pytest.approx(
+        {i: want[s] for i, _, s in rows}
+    )
+    offers = sorted(
+        ((turn + 1) * size(t) / want[s] if want[s] else 0.0, names, turn, i, size(t))
+        for i, t, s in rows
+        for names in [sorted(sizes).index(s)]
+        for turn in (0, 1)
+    )
+    left, taken = 1.5 * sum(sizes.values()), dict.fromkeys(range(150), 0)
+    for _, _, _, i, words in offers:
+        left -= words
+        if left < 0:
+            break
+        taken[i] += words
+    assert {r["doc_id"]: r["taken"] for r in out} == taken
+
+
+def test_rows_repeated_very_often(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 8)
+    rows = [(1, "a b c", "x")] * 50 + [(2, "d e", "x"), (3, "f", "y")] * 8
+    out = [r["doc_id"] for r in mix_sources(docs(rows)).figures().collect()]
+    assert sorted(out) == sorted(i for i, _, _ in rows)
+
+
+@pytest.mark.parametrize("rows", [0, 1, 7, 60])
+def test_running_totals(session, monkeypatch, rows):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)
+    rng = random.Random(rows)
+    given = [(rng.randint(0, 9), i, rng.randint(0, 99)) for i in range(rows)]
+    frame = session.createDataFrame(given, "a long, b long, c long")
+    got = {r["b"]: r["before_c"] for r in mixing.running(frame, ["a", "b"], ["c"]).collect()}
+    upto = 0
+    for _, b, c in sorted(given):
+        assert got.pop(b) == upto
+        upto += c
+    assert not got
+
+
 def test_documents_follow_the_figures(docs):
     rows = [*corpus(3, 60), *AWKWARD]
     mix = mix_sources(docs(rows))
