@@ -214,6 +214,15 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
 
+_USUAL_DAYS = (
+    """found AS (
+        SELECT CAST(try_strptime(transaction_date, '%Y-%m-%dT%H:%M:%SZ') AS DATE) AS day FROM txn)""",
+    """middle AS (
+        SELECT quantile_disc(day, 0.25) AS q1, quantile_disc(day, 0.75) AS q3,
+          CAST(ceil(greatest(q3 - q1, 1) * 1.5) AS INTEGER) AS reach
+        FROM found WHERE day IS NOT NULL)""",
+    "usual AS (SELECT q1 - reach AS first_day, q3 + reach AS last_day FROM middle)",
+)
 _TO_BRONZE = (_TXN, _CHECKED, _BRONZE)
 _TO_FLAGGED = (*_TO_BRONZE, _FLAGGED)
 _TO_STG = (*_TO_FLAGGED, _STG)
@@ -722,4 +731,22 @@ ORACLES: dict[str, str] = {
       FROM carried GROUP BY ALL""",
     "days_without_rate": _with(*_TO_STG, _MONDAYS)
     + "SELECT DISTINCT currency, transaction_date FROM carried WHERE rate IS NULL",
+    "usual_days": _with(_TXN, *_USUAL_DAYS) + "SELECT first_day, last_day FROM usual",
+    "v_ts_learned_window": _with(_TXN, *_USUAL_DAYS)
+    + """SELECT transaction_id, transaction_date AS value,
+        'transaction_date: outside_expected_window_usual (got ''' || transaction_date || ''')' AS violation
+      FROM (SELECT *, CAST(try_strptime(transaction_date, '%Y-%m-%dT%H:%M:%SZ') AS DATE) AS day FROM txn), usual
+      WHERE day < first_day OR day > last_day""",
+    "amount_outliers": _with(*_TO_BRONZE)
+    + """, stepped AS (
+        SELECT *, CAST(ceil(ln(CAST(amount AS DOUBLE)) / ln(1.01 / 0.99)) AS BIGINT) AS step FROM bronze),
+      bounds AS (
+        SELECT currency, transaction_type, quantile_disc(step, 0.25) AS q1, quantile_disc(step, 0.75) AS q3,
+          CAST(ceil(greatest(q3 - q1, 1) * 1.5) AS BIGINT) AS reach
+        FROM stepped GROUP BY ALL)
+      SELECT transaction_id, currency, transaction_type, amount,
+        round(pow(1.01 / 0.99, q1 - reach) * (2 / (1 + 1.01 / 0.99)), 6) AS low,
+        round(pow(1.01 / 0.99, q3 + reach) * (2 / (1 + 1.01 / 0.99)), 6) AS high
+      FROM stepped JOIN bounds USING (currency, transaction_type)
+      WHERE step < q1 - reach OR step > q3 + reach""",
 }

@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 from ledgerline.functions.checks import field_checks, label, text_view
 from ledgerline.functions.keys import natural_key, natural_key_hash, payload_key
 from ledgerline.functions.times import back_days, format_utc
-from ledgerline.operators import checksum, dedup, monitoring, quality, rollup, routing, watermark
+from ledgerline.operators import (
+    checksum,
+    dedup,
+    monitoring,
+    outliers,
+    quality,
+    rollup,
+    routing,
+    watermark,
+)
 from ledgerline.operators.ordered import ordered_pages
 from ledgerline.operators.upsert import upsert
 from ledgerline.plans import reports, summary
@@ -636,6 +645,37 @@ def lookback_from_lag(w: Warehouse) -> DataFrame:
     return monitoring.lookback_from_lag(w.bronze)
 
 
+@register
+def usual_days(w: Warehouse) -> DataFrame:
+    """The window of dates that the records themselves call for."""
+    return outliers.usual_days(outliers.day_counts(w.txn))
+
+
+@register
+def v_ts_learned_window(w: Warehouse) -> DataFrame:
+    """The window check with that window in place of the fixed one."""
+    learned = outliers.learned_contract(w.contract, outliers.day_counts(w.txn))
+    check = next(c for c in field_checks(learned, text_view(learned)) if c.field == "transaction_date")
+    code = f"outside_expected_window_{outliers.LEARNED_LABEL}"
+    return w.txn.where(check.problem == label("transaction_date", code)).select(
+        "transaction_id", F.col("transaction_date").alias("value"), check.text.alias("violation")
+    )
+
+
+@register
+def amount_outliers(w: Warehouse) -> DataFrame:
+    """Amounts far from the middle half of their currency and type, from sketches of days."""
+    groups = ["currency", "transaction_type"]
+    dated = w.bronze.withColumn("day", F.col("transaction_date").cast("date"))
+    days = materialize(rollup.daily_sketch(dated, "day", F.col("amount"), *groups), "amounts")
+    found = outliers.unusual_amounts(
+        w.bronze, outliers.usual_amounts(days, *groups), F.col("amount"), groups
+    )
+    return found.select(
+        "transaction_id", *groups, "amount", F.round("low", 6).alias("low"), F.round("high", 6).alias("high")
+    )
+
+
 @register
 def reporting_amounts(w: Warehouse) -> DataFrame:
     """Converted with a rate per currency and day: the number of that day's rows."""

@@ -61,6 +61,9 @@ COMPARED = [
     "lookback_from_sketch",
     "reporting_amounts_as_of",
     "days_without_rate",
+    "usual_days",
+    "v_ts_learned_window",
+    "amount_outliers",
 ]
 
 
