@@ -1,10 +1,11 @@
 """Quality scores from how well a text compresses with good and with bad examples.
 
-Two zstandard dictionaries are built, from segments of good and of bad labelled
-texts.  A text's sizes under both, their difference normalised by the sum of the
-sizes and by the text's length, and how far the text compresses at all are
-calibrated to a probability by a logistic regression on labelled texts that went
-into neither dictionary.
+Pairs of zstandard dictionaries are built, from segments of good and of bad labelled
+texts, one pair for each length of segments: short ones hold words and marks, long ones
+turns of whole sentences.  A text is compressed with both dictionaries of a pair, and the
+difference of the sizes is normalised by their sum and by the text's length.  These
+differences, and nothing else of the text, are calibrated to a probability by a logistic
+regression on labelled texts that went into no dictionary.
 """
 
 from __future__ import annotations
@@ -17,14 +18,20 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.session import materialize
 
 CUT = 0.3  # a score from here on counts as good
-# What a fit may use at most: labelled texts a class, and segments of them a class.
+# What a fit may use at most: labelled texts a class, and segments of them a class and length.
 SAMPLE_TEXTS, SAMPLE_SEGMENTS = 6000, 2500
-SEGMENT_BYTES, DICTIONARY_BYTES, LEVEL = 2048, 112_640, 3
+SEGMENT_BYTES = (128, 512, 2048)
+DICTIONARY_BYTES, LEVEL = 112_640, 3
 ROWS = 256
+RIDGE = 0.03  # by five folds of the calibration half
+
+Dictionary = tuple[bytes, bool]  # and whether it was trained
+Pairs = tuple[tuple[Dictionary, Dictionary], ...]  # of good and of bad texts
 
 
 def held_out(doc_id: Column) -> Column:
@@ -46,7 +53,7 @@ def _compressor(dictionary: bytes, trained: bool) -> zstandard.ZstdCompressor:
     )
 
 
-def dictionary(segments: list[bytes]) -> tuple[bytes, bool]:
+def dictionary(segments: list[bytes]) -> Dictionary:
     """A trained dictionary, or the segments themselves where they are too few to train on."""
     try:
         trained = zstandard.train_dictionary(DICTIONARY_BYTES, segments, level=LEVEL)
@@ -55,30 +62,25 @@ def dictionary(segments: list[bytes]) -> tuple[bytes, bool]:
         return b"".join(segments)[-DICTIONARY_BYTES:], False
 
 
-def _sizes(good: tuple[bytes, bool], bad: tuple[bytes, bool]) -> Callable[[bytes], np.ndarray]:
-    by_good, by_bad = _compressor(*good), _compressor(*bad)
+def _differences(pairs: Pairs) -> Callable[[bytes], np.ndarray]:
+    """Each pair's normalised size differences of a text, and their products of two."""
+    made = [(_compressor(*good), _compressor(*bad)) for good, bad in pairs]
+    first, second = np.triu_indices(2 * len(pairs))
 
     def run(text: bytes) -> np.ndarray:
-        a, b, n = len(by_good.compress(text)), len(by_bad.compress(text)), len(text)
-        difference, density = (b - a) / (b + a), np.log((a + b) / (2 * n + 32))
-        length = np.log(n + 16)
-        plain = [difference, (b - a) / (n + 16), density, length]
-        products = [
-            difference * density,
-            density * density,
-            density * length,
-            difference * difference,
-            difference * length,
-        ]
-        return np.array([*plain, *products])
+        plain = []
+        for by_good, by_bad in made:
+            a, b = len(by_good.compress(text)), len(by_bad.compress(text))
+            plain += [(b - a) / (b + a), (b - a) / (len(text) + 16)]
+        found = np.array(plain)
+        return np.concatenate([found, found[first] * found[second]])
 
     return run
 
 
 @dataclass(frozen=True)
 class QualityModel:
-    good: tuple[bytes, bool]
-    bad: tuple[bytes, bool]
+    pairs: Pairs
     center: np.ndarray
     scale: np.ndarray
     weights: np.ndarray  # the first one is the intercept
@@ -87,16 +89,16 @@ class QualityModel:
     def scorer(self) -> Callable[[bytes], float]:
         if self.constant is not None:
             return lambda _: self.constant
-        sizes = _sizes(self.good, self.bad)
+        differences = _differences(self.pairs)
 
         def run(text: bytes) -> float:
-            x = (sizes(text) - self.center) / self.scale
+            x = (differences(text) - self.center) / self.scale
             return float(1 / (1 + np.exp(-np.clip(self.weights[0] + x @ self.weights[1:], -50, 50))))
 
         return run
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
     """Weights by Newton's method, each step halved until it lowers the loss.
 
     The ridge holds the weights (but the intercept) where classes part cleanly.
@@ -126,29 +128,32 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            part = batch.slice(at, ROWS)
-            rows = [
-                (good, text[i : i + SEGMENT_BYTES])
-                for good, text in zip(part.column("good").to_pylist(), _texts(part), strict=True)
-                for i in range(0, len(text), SEGMENT_BYTES)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in rows], pa.bool_()),
-                    pa.array([r[1] for r in rows], pa.binary()),
-                ],
-                names=["good", "segment"],
-            )
+def _segments(length: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                rows = [
+                    (good, text[i : i + length])
+                    for good, text in zip(part.column("good").to_pylist(), _texts(part), strict=True)
+                    for i in range(0, len(text), length)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([r[0] for r in rows], pa.bool_()),
+                        pa.array([r[1] for r in rows], pa.binary()),
+                    ],
+                    names=["good", "segment"],
+                )
+
+    return run
 
 
-def _featured(good: tuple[bytes, bool], bad: tuple[bytes, bool]) -> Callable:
+def _featured(pairs: Pairs) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = _sizes(good, bad)
+        differences = _differences(pairs)
         for batch in batches:
-            found = [sizes(t).tolist() for t in _texts(batch)]
+            found = [differences(t).tolist() for t in _texts(batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("good"), pa.array(found, pa.list_(pa.float64()))],
                 names=["good", "x"],
@@ -162,8 +167,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
 
     Rows that ``held_out`` marks are not used, and of the rest at most
     ``SAMPLE_TEXTS`` documents a class, the first by a hash of the id; each class
-    then weighs as much as it has labels.  Of their whole texts, ``SAMPLE_SEGMENTS``
-    segments a class make the dictionaries.  A doc_id with several labels counts with
+    then weighs as much as it has labels.  Of the whole texts of one half of them,
+    ``SAMPLE_SEGMENTS`` segments a class and length make the dictionaries; the other half
+    is what the differences are calibrated on.  Of a class with a single text there is no
+    dictionary.  A doc_id with several texts counts with the smallest one.  A doc_id with several labels counts with
     the more frequent one.  These bounds are what the driver gathers at most.
     """
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
@@ -179,7 +186,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
 
     def constant() -> QualityModel:
         share = counts.get(True, 0) / total if total else 0.5
-        return QualityModel((b"", False), (b"", False), nothing, nothing, nothing, share)
+        return QualityModel((), nothing, nothing, nothing, share)
 
     if len(counts) < 2:
         return constant()
@@ -190,32 +197,35 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
     ]
     # Broadcast: at most two times SAMPLE_TEXTS ids.
     ids = F.broadcast(chosen[0].union(chosen[1]))
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(2))
-    sample = materialize(
+    texts = materialize(
         docs.select(doc_id, F.col("text").cast("string").alias("text"))
         .join(ids, "doc_id")
-        .select("good", "text", part.alias("part")),
+        .groupBy("doc_id", "good")
+        .agg(F.min("text").alias("text")),
         "labelled",
     )
-    cut = sample.where("part = 0").select("good", "text").mapInArrow(
-        _segments, "good boolean, segment binary"
-    )
-    made = {
-        good: dictionary(
-            [
-                bytes(r["segment"])
-                for r in cut.where(F.col("good") == good)
-                .orderBy(F.xxhash64("segment"), "segment")
-                .limit(SAMPLE_SEGMENTS)
-                .collect()
-            ]
+    # Every second one of a class, so that both halves have each class that has two.
+    turn = F.row_number().over(Window.partitionBy("good").orderBy(*order))
+    halves = texts.select("doc_id", "good").select("doc_id", (turn % 2 == 1).alias("calibrates"))
+    sample = texts.join(F.broadcast(halves), "doc_id")
+
+    def segments(good: bool, length: int) -> list[bytes]:
+        cut = sample.where(~F.col("calibrates") & (F.col("good") == good)).select("good", "text")
+        held = (
+            cut.mapInArrow(_segments(length), "good boolean, segment binary")
+            .orderBy(F.xxhash64("segment"), "segment")
+            .limit(SAMPLE_SEGMENTS)
         )
-        for good in (True, False)
-    }
+        return [bytes(r["segment"]) for r in held.collect()]
+
+    pairs = tuple(
+        (dictionary(segments(True, length)), dictionary(segments(False, length)))
+        for length in SEGMENT_BYTES
+    )
     rows = (
-        sample.where("part = 1")
+        sample.where("calibrates")
         .select("good", "text")
-        .mapInArrow(_featured(made[True], made[False]), "good boolean, x array<double>")
+        .mapInArrow(_featured(pairs), "good boolean, x array<double>")
         .collect()
     )
     y = np.array([r["good"] for r in rows], dtype=float)
@@ -225,7 +235,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
     center, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     weight = np.where(y == 1, counts[True] / y.sum(), counts[False] / (len(y) - y.sum()))
     weights = _logistic((x - center) / scale, y, weight * len(y) / total)
-    return QualityModel(made[True], made[False], center, scale, weights)
+    return QualityModel(pairs, center, scale, weights)
 
 
 def _scored(model: QualityModel) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
@@ -247,7 +257,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> D
     """``doc_id``, ``held_out``, ``score``, ``predicted`` for every row of ``docs``.
 
     The score looks at the text alone; see ``fit_quality`` for what it is learnt
-    from.  Null and empty texts are scored as empty ones.  Repeated rows get equal
+    from.  Null and empty texts are scored as empty ones, very long ones as a whole.  Repeated rows get equal
     scores; a null doc_id stays, is not held out, and no label belongs to it.  Without
     labels of both classes every text gets the share of good labels, 0.5 without any.
     An empty table gives an empty result.  Other columns are ignored.
@@ -258,6 +268,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> D
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, cut: float = CUT) -> DataFrame:
-    """The rows of ``docs`` whose score reaches ``cut``, with their columns."""
+    """The rows of ``docs`` whose score reaches ``cut``, with their columns.
+
+    Scores are those of ``quality_scores``: a null text is an empty one, equal rows go or
+    stay together, a score equal to ``cut`` stays, an empty table stays empty.
+    """
     score = quality_score(F.col("text"), fit_quality(docs, labels))
     return docs.where(score >= cut)

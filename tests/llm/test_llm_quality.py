@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
+import numpy as np
+import pytest
+import zstandard
 from llm_helpers import AWKWARD, TESTDATA, rows_of
 
 from ledgerline.llm.quality import fit_quality, held_out, keep_good, quality_scores
@@ -73,6 +77,49 @@ def test_awkward_rows(session, docs):
     assert quality_scores(docs([]), frame).count() == 0
 
 
+def plain_score(model, text):
+    """The score from the fitted parts alone: compress, divide, multiply, add up."""
+    data, sizes = text.encode(), []
+    for pair in model.pairs:
+        for raw, trained in pair:
+            kind = zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT
+            held = zstandard.ZstdCompressionDict(raw, dict_type=kind) if raw else None
+            made = zstandard.ZstdCompressor(
+                level=3, dict_data=held, write_content_size=False, write_dict_id=False
+            )
+            sizes.append(len(made.compress(data)))
+    x = []
+    for good, bad in zip(sizes[::2], sizes[1::2], strict=True):
+        x += [(bad - good) / (bad + good), (bad - good) / (len(data) + 16)]
+    x += [x[i] * x[j] for i in range(len(x)) for j in range(i, len(x))]
+    z = model.weights[0]
+    for value, center, scale, weight in zip(x, model.center, model.scale, model.weights[1:], strict=True):
+        z += weight * (value - center) / scale
+    return 1 / (1 + math.exp(-max(-50, min(50, z))))
+
+
+def test_scores_follow_from_the_fitted_parts(documents, session):
+    labels = table(session, TESTDATA, "labels")
+    model = fit_quality(documents, labels)
+    assert len(model.pairs) == 3 and model.constant is None
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    got = {r["doc_id"]: r["score"] for r in quality_scores(documents, labels).collect()}
+    want = {i: plain_score(model, t) for i, t in texts.items()}
+    assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_a_class_of_one_text_is_calibrated(session, docs):
+    """Both classes have labels, so the score is no constant; hot ids are read once."""
+    rows, labels = labelled(60)
+    few = [r for r in labels if r[1] == 1]
+    bad = next(r for r in labels if r[1] == 0 and zlib.crc32(str(r[0]).encode()) % 5)
+    frame = session.createDataFrame([*few, bad], "doc_id long, quality int, toxic int")
+    again = [rows[few[0][0]]] * 500
+    model = fit_quality(docs(rows + again), frame)
+    assert model.constant is None and np.isfinite(model.weights).all()
+    assert (model.center == fit_quality(docs(rows), frame).center).all()
+
+
 def test_labels_of_one_class_or_none(session, docs):
     schema = "doc_id long, quality int"
     for labels, share in (([(2, 1), (3, 1)], 1.0), ([], 0.5)):
