@@ -6,7 +6,8 @@ import random
 import numpy as np
 from llm_helpers import AWKWARD, rows_of
 
-from ledgerline.llm.fingerprint import Fingerprint, edited, fingerprints, of_text
+from ledgerline.llm.fingerprint import FACTORS, Fingerprint, edited, fingerprints, of_text
+from ledgerline.llm.shingles import hash_words, mix
 
 
 def brute(rows):
@@ -22,6 +23,50 @@ def brute(rows):
     return out
 
 
+def plain(text):
+    """The lanes by whole numbers, a paragraph and a run at a time."""
+    exact, sketch = [0] * 16, [0] * 256
+    for line in text.encode().split(b"\n"):
+        held = hashlib.blake2b(line).digest() + hashlib.blake2b(line, person=b"more").digest()
+        for lane in range(16):
+            exact[lane] += int.from_bytes(held[8 * lane : 8 * lane + 8], "little")
+        words = [int(hash_words([w])[0]) for w in line.split()]
+        size = min(3, len(words))
+        for at in range(len(words) - size + 1 if words else 0):
+            run = sum(int(f) * w for f, w in zip(FACTORS, words[at : at + size], strict=False))
+            run = int(mix(np.array([run % 2**64], dtype=np.uint64))[0])
+            sketch[(run >> 40) % 256] += -1 if run >> 63 else 1
+    return [x % 2**64 for x in exact], sketch
+
+
+def plain_likeness(a, b):
+    if a[0] == b[0]:
+        return 1.0
+    dot = lambda x, y: sum(p * q for p, q in zip(x, y, strict=True))
+    both = dot(a[1], a[1]) + dot(b[1], b[1])
+    return min(1.0, max(0.0, 2 * dot(a[1], b[1]) / both)) if both else 0.0
+
+
+def test_matches_whole_numbers(docs):
+    """The query's fingerprints and likeness against lanes that were added up plainly."""
+    rng = random.Random(11)
+    texts = ["", "a", "a b", "\n\n", "a b c\nd e f g\n", "é ü\nß"]
+    texts += ["\n".join(" ".join(rng.choices("abcdefgh", k=rng.randint(0, 9))) for _ in range(rng.randint(1, 12))) for _ in range(30)]
+    got = {r["doc_id"]: r for r in fingerprints(docs([(i, t, "") for i, t in enumerate(texts)])).collect()}
+    assert set(got) == set(range(len(texts)))
+    for i, text in enumerate(texts):
+        after = texts[i - 1]
+        third = len(text) // 3
+        changed = text[: len(text) - third] + after[:third]
+        own, own_changed, following = plain(text), plain(changed), plain(after)
+        for column, want in (("fingerprint", own), ("edited_fingerprint", own_changed)):
+            held = Fingerprint.parse(got[i][column])
+            assert held.exact.tolist() == want[0]
+            assert held.sketch.view(np.int32).tolist() == want[1]
+        assert got[i]["near_edited"] == plain_likeness(own, own_changed)
+        assert got[i]["near_next"] == plain_likeness(own, following)
+
+
 def test_matches_whole_texts(documents):
     rows = [(r["doc_id"], r["text"], None) for r in documents.collect()]
     got = {r[0]: r[1:] for r in rows_of(fingerprints(documents))}
