@@ -237,17 +237,8 @@ def duplicate_count(w: Warehouse) -> DataFrame:
 
 @register
 def lineitem_duplicates(w: Warehouse) -> DataFrame:
-    """The same flags on another table: line numbers repeat within an order."""
-    lines = load(w.spark, w.sf_dir, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_key"),
-        "l_shipdate",
-        F.concat_ws(
-            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
-        ).alias("line_id"),
-    )
-    return dedup.flag_duplicates(
-        materialize(lines.distinct(), "lines"), "line_key", "l_shipdate", "line_id"
-    )
+    """The same flags on another table."""
+    return dedup.flag_duplicates(w.order_lines, "line_key", "l_shipdate", "line_id")
 
 
 # Upsert, joins and aggregates.

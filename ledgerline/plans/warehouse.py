@@ -22,7 +22,7 @@ from ledgerline.operators.routing import (
     quarantine_rows,
     table_payload,
 )
-from ledgerline.plans.fixture import FIRST_LOAD_END, payload_deliveries, payloads, txn
+from ledgerline.plans.fixture import FIRST_LOAD_END, load, payload_deliveries, payloads, txn
 from ledgerline.plans.staging import stg_transactions
 from ledgerline.plans.summary import daily_account_summary
 from ledgerline.session import materialize, prepare_session, scratch_path
@@ -80,6 +80,18 @@ class Warehouse:
     def flagged(self) -> DataFrame:
         return materialize(flag_duplicates(self.bronze), "flagged")
 
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """Another table with repeated keys: line numbers repeat within an order."""
+        lines = load(self.spark, self.sf_dir, "lineitem").select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_key"),
+            "l_shipdate",
+            F.concat_ws(
+                "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
+            ).alias("line_id"),
+        )
+        return materialize(lines.distinct(), "lines")
+
     @property
     def staging(self) -> DataFrame:
         return stg_transactions(self.flagged)
