@@ -20,7 +20,7 @@ from ledgerline.llm.spelling import spelling_variants
 from ledgerline.llm.substring import repeated_passages
 from ledgerline.llm.tables import table
 from ledgerline.llm.topk import exact_top_k
-from ledgerline.llm.url_filter import url_verdicts
+from ledgerline.llm.url_filter import PAGES_VOCABULARY, url_verdicts
 from ledgerline.llm.zip_warc import archive_round_trip
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,7 +32,7 @@ def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_verdicts(table(spark, sf_dir, "pages"))
+    return url_verdicts(table(spark, sf_dir, "pages"), vocabulary=PAGES_VOCABULARY)
 
 
 def op3_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
