@@ -4,15 +4,23 @@ import random
 from datetime import datetime
 
 import pytest
-from helpers import bronze_frame, bronze_row
-
-from ledgerline.operators.dedup import duplicate_members, flag_duplicates, flagged_count
+from helpers import bronze_frame, bronze_row, payload_frame, record
+
+from ledgerline.ingest import run_ingest
+from ledgerline.operators.dedup import (
+    duplicate_groups,
+    duplicate_members,
+    flag_duplicates,
+    flagged_count,
+)
 from ledgerline.operators.upsert import (
     BatchKeyConflict,
     assert_unique,
     latest_per_key,
     upsert,
 )
+from ledgerline.session import materialize
+from ledgerline.sources.store import DailyTable
 
 
 def on(day: int) -> dict:
@@ -73,6 +81,39 @@ def test_flags_match_brute_force_with_a_hot_group(spark, hot_group_rows, hot_gro
     assert got == expected
 
 
+@pytest.mark.parametrize("few_groups", [0, 10_000])
+def test_groups_written_beforehand_give_the_same_flags(spark, few_groups):
+    rng = random.Random(9)
+    rows = [(f"T{n}", rng.randrange(5), rng.choice([None, "hot", f"k{rng.randrange(200)}"])) for n in range(600)]
+    frame = materialize(spark.createDataFrame(rows, "transaction_id string, transaction_date int, k string"), "rows")
+    groups = materialize(duplicate_groups(frame, "k"), "groups")
+    flagged = flag_duplicates(frame, "k", groups=groups, few_groups=few_groups)
+    assert flags(flagged) == flags(flag_duplicates(frame, "k"))
+    plan = flagged._jdf.queryExecution().sparkPlan().toString()
+    # Few groups meet the rows where these lie: no join needs a shuffle.
+    assert ("SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan) or not few_groups
+    assert flagged.where("is_duplicate").count() > 200
+
+
+def test_flagging_stored_days_shuffles_rows_once(spark, store, contract, monkeypatch):
+    """Rows are dealt to the files of their day; the survivors come to them."""
+    frame = payload_frame(spark, [record(transaction_id=f"TXN-{n}") for n in range(4)])
+    seen = []
+    stage = DailyTable.stage
+
+    def spied(self, rows, *args, **more):
+        if self.name == "bronze":
+            seen.append(rows._jdf.queryExecution().sparkPlan().toString())
+        return stage(self, rows, *args, **more)
+
+    monkeypatch.setattr(DailyTable, "stage", spied)
+    run_ingest(frame, store, contract, run_id="r")
+    assert "BroadcastHashJoin" in seen[0]
+    assert "SortMergeJoin" not in seen[0] and "partial_min" not in seen[0]
+    got = {r[0]: r[1] for r in store.bronze.read().select("transaction_id", "duplicate_of_transaction_id").collect()}
+    assert got == {"TXN-0": None, "TXN-1": "TXN-0", "TXN-2": "TXN-0", "TXN-3": "TXN-0"}
+
+
 def test_upsert_replaces_and_inserts(spark):
     old = bronze_frame(spark, [bronze_row("A", status="pending"), bronze_row("B")])
     new = bronze_frame(spark, [bronze_row("A", status="completed"), bronze_row("C")])
