@@ -20,7 +20,7 @@ from ledgerline.ingest import (
     run_ingest,
 )
 from ledgerline.operators.checksum import SUMMARY_CONTENT
-from ledgerline.operators.routing import DEFAULT_SOURCE
+from ledgerline.operators.routing import DEFAULT_SOURCE, check_payloads
 from ledgerline.operators.upsert import BatchKeyConflict
 from ledgerline.plans.reports import quarantine_listing
 from ledgerline.sources.sinks import (
@@ -374,3 +374,22 @@ def test_arguments_are_checked(spark, store, contract):
         load(spark, store, contract, [GOOD], mode="incremental", reset=True)
     with pytest.raises(ValueError, match="on_conflict"):
         _batch(spark.range(1), "id", "ignore")
+
+
+def test_late_records_are_counted_but_not_checked(spark, contract):
+    """What the window leaves out is parsed for its date alone; what is no object is taken."""
+    texts = [txn(1, "01"), txn(2, "05", amount="abc"), txn(3, "01", amount="abc"), "[1]", {"amount": 1}]
+    checked = check_payloads(
+        payload_frame(spark, texts), contract,
+        lambda date, is_object: F.coalesce((date >= "2024-02-03") | ~is_object, F.lit(False)),
+    )
+    rows = checked.select("transaction_id", "payload", F.size("violations").alias("n"), "is_object").collect()
+    assert [(r[0], r[1] is not None, r[2], r[3]) for r in rows] == [
+        (None, False, 0, True),
+        ("TXN-0002", True, 1, True),
+        (None, False, 0, True),
+        (None, True, 1, False),
+        (None, False, 0, True),
+    ]
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson(concat([") == 1 and "Filter" not in plan

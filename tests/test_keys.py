@@ -7,6 +7,7 @@ from helpers import GOOD, payload_frame, record
 from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import natural_key, natural_key_hash, two_decimals
+from ledgerline.functions.text import has_fraction
 from ledgerline.functions.times import back_days, format_utc, parse_utc
 from ledgerline.operators.checksum import is_idempotent, rebuild_proof, table_checksum
 from ledgerline.operators.routing import check_payloads, quarantine_rows
@@ -117,3 +118,21 @@ def test_lists_and_objects_are_printed_as_python_prints_them(spark, contract):
     assert [r[0] for r in frame.collect()] == [
         [f"merchant_name: empty_or_whitespace_only (got {v!r})"] for v in values
     ]
+
+
+def test_quoted_amounts_are_no_fractions(spark):
+    """Only a payload with a fractional number is parsed a second time."""
+    texts = {
+        '{"amount": "18.40"}': False,
+        '{"amount":"-1.5e3", "a": 7}': False,
+        '{"amount": 18.40}': True,
+        '{"a":1.0}': True,
+        '{"a":[1,-2.5]}': True,
+        '{"a":[-0e1]}': True,
+        '{"a":\t1E5}': True,
+        "1.50": True,
+        "-1.50": True,
+    }
+    frame = spark.createDataFrame([(t,) for t in texts], "payload string")
+    got = {r[0]: r[1] for r in frame.select("payload", has_fraction(F.col("payload"))).collect()}
+    assert got == texts
