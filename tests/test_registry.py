@@ -164,3 +164,14 @@ def test_scratch_follows_the_session(spark):
     assert configured in path
     with pytest.raises(PySparkException):
         spark.read.parquet(f"{configured}/nothing")
+
+
+def test_landing_files_are_packed_and_bounded(spark, tmp_path, monkeypatch):
+    from ledgerline.plans import warehouse as plans
+
+    monkeypatch.setattr(plans, "FILE_LINES", 10)
+    lines = spark.range(25, numPartitions=1).selectExpr("cast(id AS string) AS value", "1 AS delivery")
+    plans._write_landing(lines, str(tmp_path / "landing"))
+    files = [f.name for f in (tmp_path / "landing" / "delivery=1").iterdir() if f.name.startswith("part")]
+    assert len(files) == 3 and all(f.endswith(".gz") for f in files)
+    assert spark.read.text(str(tmp_path / "landing")).select("value").distinct().count() == 25
