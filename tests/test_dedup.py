@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 from helpers import bronze_frame, bronze_row, payload_frame, record
+from pyspark.sql import functions as F
 
 from ledgerline.ingest import run_ingest
 from ledgerline.operators.dedup import (
@@ -12,6 +13,7 @@ from ledgerline.operators.dedup import (
     duplicate_members,
     flag_duplicates,
     flagged_count,
+    repeated_hashes,
 )
 from ledgerline.operators.upsert import (
     BatchKeyConflict,
@@ -20,7 +22,7 @@ from ledgerline.operators.upsert import (
     upsert,
 )
 from ledgerline.session import materialize
-from ledgerline.sources.store import DailyTable
+from ledgerline.sources.store import DailyTable, Store
 
 
 def on(day: int) -> dict:
@@ -114,6 +116,53 @@ def test_flagging_stored_days_shuffles_rows_once(spark, store, contract, monkeyp
     assert got == {"TXN-0": None, "TXN-1": "TXN-0", "TXN-2": "TXN-0", "TXN-3": "TXN-0"}
 
 
+@pytest.mark.parametrize("few_groups", [0, 10_000])
+def test_only_rows_of_repeated_hashes_are_grouped(spark, few_groups):
+    rng = random.Random(3)
+    rows = [(f"T{n}", rng.randrange(5), rng.choice([None, "hot", f"k{rng.randrange(400)}"])) for n in range(600)]
+    frame = materialize(spark.createDataFrame(rows, "transaction_id string, transaction_date int, k string"), "rows")
+    once = frame.groupBy("k").count().where("count = 1").select(F.xxhash64("k"))
+    assert once.count() > 50
+    # As if two keys shared a hash by chance: hashes of single rows are listed too.
+    repeated = materialize(repeated_hashes(frame, "k").union(once), "repeated")
+    groups = duplicate_groups(frame, "k", repeated=repeated, few_groups=few_groups)
+    assert sorted(groups.collect(), key=str) == sorted(duplicate_groups(frame, "k").collect(), key=str)
+    assert ("LeftSemi" in groups._jdf.queryExecution().sparkPlan().toString()) == (few_groups > 0)
+
+
+def test_many_groups_are_looked_up_without_a_sort(spark):
+    """Rows that must be shuffled to their groups are not sorted there."""
+    rows = [(f"T{n}", n % 5, f"k{n % 50}") for n in range(200)]
+    frame = materialize(spark.createDataFrame(rows, "transaction_id string, transaction_date int, k string"), "rows")
+    groups = materialize(duplicate_groups(frame, "k"), "groups")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    held = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")  # as if every table were large
+    try:
+        flagged = flag_duplicates(frame, "k", groups=groups, few_groups=0)
+        plan = flagged._jdf.queryExecution().sparkPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        assert flags(flagged) == flags(flag_duplicates(frame, "k"))
+    finally:
+        spark.conf.set(threshold, held)
+
+
+def test_runs_group_only_rows_of_repeated_hashes(spark, store, contract, monkeypatch):
+    """Of a row that is alone, a number is shuffled and not its key, time and id."""
+    staged, plans = Store.staged, []
+
+    def spied(self, rows, *by):
+        if "_group_size" in rows.columns:
+            plans.append(rows._jdf.queryExecution().sparkPlan().toString())
+        return staged(self, rows, *by)
+
+    monkeypatch.setattr(Store, "staged", spied)
+    frame = payload_frame(spark, [record(transaction_id=f"TXN-{n}") for n in range(4)])
+    run_ingest(frame, store, contract, run_id="r")
+    assert len(plans) == 1 and "LeftSemi" in plans[0]
+    assert store.bronze.read().where("is_duplicate").count() == 3
+
+
 def test_upsert_replaces_and_inserts(spark):
     old = bronze_frame(spark, [bronze_row("A", status="pending"), bronze_row("B")])
     new = bronze_frame(spark, [bronze_row("A", status="completed"), bronze_row("C")])
