@@ -16,7 +16,7 @@ from ledgerline.ingest import PublishBlocked, rebuild_summary, run_ingest, upser
 from ledgerline.operators.checksum import SUMMARY_CONTENT
 from ledgerline.operators.id_filter import id_filters, may_hold, merged, size_for
 from ledgerline.sources import store as stores
-from ledgerline.sources.store import CommitConflict, CommitLog, DailyTable, LogTable
+from ledgerline.sources.store import CommitConflict, CommitLog, DailyTable, LogTable, Store
 from ledgerline.streaming.ingest_stream import start_ingest_stream
 
 
@@ -241,3 +241,33 @@ def test_upsert_without_a_run(spark, store, contract):
     load(spark, store, contract, [txn(1, 1), txn(2, 2)])
     days, replaced = upsert_bronze(store, store.bronze.read().where("transaction_id = 'TXN-0002'"), "fail")
     assert (days, replaced) == (["2024-02-02"], 1) and len(stored(store)) == 2
+
+
+@pytest.mark.parametrize(("few_ids", "n_replaced"), [(100, 0), (100, 3), (100, 6), (2, 4), (0, 6), (0, 3)])
+def test_ids_tell_what_a_batch_replaces(spark, store, contract, monkeypatch, few_ids, n_replaced):
+    """None, some or all of the stored rows go: no stored row is shuffled, unless many go and stay."""
+    bad = [txn(n, 1, currency="usd") for n in (50, 51)]
+    load(spark, store, contract, [txn(n, 1) for n in range(6)] + bad)
+    staged, plans = Store.staged, []
+
+    def spied(self, rows, *by):
+        if "source_payload" in rows.columns:
+            plans.append(rows._jdf.queryExecution().sparkPlan().toString())
+        return staged(self, rows, *by)
+
+    monkeypatch.setattr(Store, "staged", spied)
+    monkeypatch.setattr(ingest, "FEW_IDS", few_ids, raising=False)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    held = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")  # as if every table were large
+    try:
+        batch = [txn(n, 1, status="failed") for n in range(n_replaced)] + [txn(9, 1)]
+        load(spark, store, contract, batch + bad[:1])
+    finally:
+        spark.conf.set(threshold, held)
+    many = few_ids < min(n_replaced, 6 - n_replaced)
+    assert [("SortMergeJoin" in p) for p in plans] == [many]
+    assert {(i, s) for i, s, _ in stored(store)} == {
+        (f"TXN-{n:04d}", "failed" if n < n_replaced else "completed") for n in (*range(6), 9)
+    }
+    assert store.bronze.read().count() == 7 and store.quarantine.read().count() == 2
